@@ -1,0 +1,76 @@
+"""The batch pipeline: raw -> staging views -> mart tables -> model tables -> exports."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from voltspan.operators import anomalies, dims, forecast, marts, quality, series, staging
+from voltspan.sinks import tables as sinks
+
+
+def export_frames(t) -> dict[str, DataFrame]:
+    """The seven exported frames of a set of tables."""
+    return {
+        "region_daily": t.region_daily,
+        "region_energy_daily": t.energy_daily,
+        "generation_daily": t.generation_named,
+        "demand_forecast": t.forecast_mart,
+        "forecast_accuracy": t.accuracy,
+        "dim_region": t.dim_region,
+        "raw_price_demand": t.raw_price,
+    }
+
+
+def build_price(spark: SparkSession, raw_price: DataFrame, region_seed: DataFrame) -> None:
+    """Price vertical: one staging view, the atomic fact, the daily mart."""
+    sinks.ensure_schemas(spark)
+    sinks.replace_table(dims.dim_region(region_seed), "marts.dim_region")
+    stg = sinks.staging_view(staging.stg_price_demand(raw_price), "stg_price_demand")
+    fact = sinks.replace_table(
+        marts.fct_price_demand(stg), "marts.fct_price_demand", ["settlement_day"]
+    )
+    sinks.replace_table(marts.fct_region_daily(fact), "marts.fct_region_daily")
+
+
+def build_generation(
+    spark: SparkSession, raw_scada: DataFrame, unit_seed: DataFrame, fueltech_seed: DataFrame
+) -> None:
+    """Generation vertical: dimensions, 30-minute energy, daily energy, daily headline marts."""
+    sinks.ensure_schemas(spark)
+    units = sinks.replace_table(dims.dim_duid(unit_seed), "marts.dim_duid")
+    fuel = sinks.replace_table(dims.dim_fueltech(fueltech_seed), "marts.dim_fueltech")
+    stg = sinks.staging_view(staging.stg_dispatch_scada(raw_scada), "stg_dispatch_scada")
+    half_hours = sinks.replace_table(marts.fct_generation(stg, units), "marts.fct_generation")
+    daily = sinks.replace_table(
+        marts.fct_generation_daily(half_hours), "marts.fct_generation_daily"
+    )
+    sinks.replace_table(
+        marts.fct_region_energy_daily(daily, fuel), "marts.fct_region_energy_daily"
+    )
+
+
+def build_forecast(
+    spark: SparkSession,
+    models: list[str] = forecast.MODELS,
+    min_intervals: int = series.MIN_INTERVALS,
+) -> None:
+    """Backtest and forecast from the stored daily mart, written back and served as marts."""
+    sinks.ensure_schemas(spark)
+    observed = series.daily_series(spark.table("marts.fct_region_daily"), min_intervals)
+    scores = series.accuracy_table(forecast.backtest(observed, models))
+    accuracy = sinks.replace_table(scores, "forecast.forecast_accuracy")
+    ahead = sinks.replace_table(
+        forecast.demand_forecast(observed, models), "forecast.demand_forecast"
+    )
+    sinks.replace_table(marts.fct_forecast_accuracy(accuracy), "marts.fct_forecast_accuracy")
+    sinks.replace_table(marts.fct_demand_forecast(ahead), "marts.fct_demand_forecast")
+
+
+def build_anomalies(spark: SparkSession, train_end: str = anomalies.TRAIN_END) -> None:
+    scored = anomalies.score_prices(spark.table("marts.fct_region_daily"), train_end)
+    sinks.replace_table(marts.fct_price_anomalies(scored), "marts.fct_price_anomalies")
+
+
+def check_build(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """Run the checks whose tables are present and stop the build on any failure."""
+    return quality.gate(quality.run_checks(quality.standard_checks(), tables))
