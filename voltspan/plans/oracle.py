@@ -162,11 +162,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         (partition by unique_id order by ds) as nxt from series)"""),
     "origins": (("series",), """select unique_id, last - cast(7 * b as int) as cutoff
         from (select unique_id, max(ds) as last from series group by 1), range(1, 7) t(b)"""),
-    "naive_bt": (("origins", "filled", "series"), """select o.unique_id, o.cutoff,
-        cast(h as int) as step, o.cutoff + cast(h as int) as ds, f.y as y_hat, s.y
-        from origins o, range(1, 8) t(h)
-        join filled f on f.unique_id = o.unique_id and f.ds = o.cutoff - 7 + cast(h as int)
-        join series s on s.unique_id = o.unique_id and s.ds = o.cutoff + cast(h as int)"""),
+    "targets": (("origins",), """select unique_id, cutoff, cast(h as int) as step,
+        cutoff + cast(h as int) as ds, cutoff + cast(h as int) - 7 as src
+        from origins, range(1, 8) t(h)"""),
+    "naive_bt": (("targets", "filled", "series"), """select o.unique_id, o.cutoff, o.step, o.ds,
+        f.y as y_hat, s.y from targets o
+        join filled f on f.unique_id = o.unique_id and f.ds = o.src
+        join series s on s.unique_id = o.unique_id and s.ds = o.ds"""),
     "anomalies": (("history",), f"""select region, settlement_day, {r('y', 2)} as avg_rrp,
         {r('expected', 2)} as expected_rrp, {r('expected + q[1]', 2)} as lower_bound,
         {r('expected + q[2]', 2)} as upper_bound,

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from voltspan.operators import anomalies, dims, forecast, marts, quality, series, staging
 from voltspan.sinks import tables as sinks
 
 
-def export_frames(t) -> dict[str, DataFrame]:
-    """The seven exported frames of a set of tables."""
+def export_frames(t) -> dict[str, Callable[[], DataFrame]]:
+    """The seven exported frames of a set of tables, each built when asked for."""
     return {
-        "region_daily": t.region_daily,
-        "region_energy_daily": t.energy_daily,
-        "generation_daily": t.generation_named,
-        "demand_forecast": t.forecast_mart,
-        "forecast_accuracy": t.accuracy,
-        "dim_region": t.dim_region,
-        "raw_price_demand": t.raw_price,
+        "region_daily": lambda: t.region_daily,
+        "region_energy_daily": lambda: t.energy_daily,
+        "generation_daily": lambda: t.generation_named,
+        "demand_forecast": lambda: t.forecast_mart,
+        "forecast_accuracy": lambda: t.accuracy,
+        "dim_region": lambda: t.dim_region,
+        "raw_price_demand": lambda: t.raw_price,
     }
 
 

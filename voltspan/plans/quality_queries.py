@@ -50,14 +50,13 @@ def _(t):
 
 def built_tables(t):
     """Every table the standard checks read that this data can fill."""
-    daily = t.region_daily
     return {
         "seed_duid_fueltech": t.unit_seed,
         "stg_price_demand": t.stg_price, "stg_dispatch_scada": t.stg_scada,
         "dim_region": t.dim_region, "dim_fueltech": t.dim_fueltech, "dim_duid": t.dim_duid,
-        "fct_price_demand": t.fct_price, "fct_region_daily": daily,
-        "fct_generation_daily": t.generation_daily_stored,
-        "fct_region_energy_daily": t.energy_daily_stored,
+        "fct_price_demand": t.fct_price, "fct_region_daily": t.region_daily_stored,
+        "fct_generation_daily": t.generation_stored,
+        "fct_region_energy_daily": t.energy_stored,
         "fct_demand_forecast": t.forecast_mart, "fct_forecast_accuracy": t.accuracy,
         "fct_price_anomalies": t.price_anomalies,
     }

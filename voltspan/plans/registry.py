@@ -24,8 +24,8 @@ NAIVE = ["SeasonalNaive"]
 class Tables:
     """The tables of one data folder, built on first use.
 
-    Daily marts are stored once per instance (as the batch pipeline stores them), because
-    reports read them more than once; everything else stays a lazy plan.
+    The ``*_stored`` marts are written once (as the batch pipeline writes them) for reports
+    that read them more than once; everything else stays a lazy plan.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -53,7 +53,11 @@ class Tables:
 
     @cached_property
     def region_daily_named(self) -> DataFrame:
-        return stage(dims.with_region_name(self.region_daily, self.dim_region), "region-daily")
+        return self.named(self.region_daily)
+
+    @cached_property
+    def region_daily_stored(self) -> DataFrame:
+        return stage(self.region_daily_named, "region-daily")
 
     # generation
     @cached_property
@@ -92,27 +96,27 @@ class Tables:
     def generation_daily(self) -> DataFrame:
         return marts.fct_generation_daily(self.generation)
 
-    @cached_property
-    def generation_daily_stored(self) -> DataFrame:
-        return stage(self.generation_daily, "generation-daily")
-
     @cached_property
     def generation_named(self) -> DataFrame:
         return marts.generation_labelled(
-            self.generation_daily_stored, self.dim_fueltech, self.dim_region
+            self.generation_daily, self.dim_fueltech, self.dim_region
         )
 
+    @cached_property
+    def generation_stored(self) -> DataFrame:
+        return stage(self.generation_named, "generation-daily")
+
     @cached_property
     def energy_daily(self) -> DataFrame:
         return marts.fct_region_energy_daily(self.generation_daily, self.dim_fueltech)
 
     @cached_property
-    def energy_daily_stored(self) -> DataFrame:
-        return stage(self.energy_daily, "energy-daily")
+    def energy_named(self) -> DataFrame:
+        return self.named(self.energy_daily)
 
     @cached_property
-    def energy_named(self) -> DataFrame:
-        return dims.with_region_name(self.energy_daily_stored, self.dim_region)
+    def energy_stored(self) -> DataFrame:
+        return stage(self.energy_named, "energy-daily")
 
     # long daily history, for series and anomalies
     @cached_property

@@ -29,14 +29,14 @@ def _(t):
     round(avg(avg_demand_mw), 6) as avg_demand from region_daily_named
     where {_recent('region_daily_named', 30)}""", "region_daily_named"))
 def _(t):
-    return q6(reports.price_latest(t.region_daily_named), "avg_price", "avg_demand")
+    return q6(reports.price_latest(t.region_daily_stored), "avg_price", "avg_demand")
 
 
 @query("l2_price_latest_week", sql(f"""select round(avg(avg_rrp), 6) as avg_price,
     round(avg(avg_demand_mw), 6) as avg_demand from region_daily_named
     where {_recent('region_daily_named', 7)}""", "region_daily_named"))
 def _(t):
-    return q6(reports.price_latest(t.region_daily_named, 7), "avg_price", "avg_demand")
+    return q6(reports.price_latest(t.region_daily_stored, 7), "avg_price", "avg_demand")
 
 
 @query("l3_renewable_trend", sql(f"""select {_M}, {_SHARE} as renewable_share_pct
@@ -49,7 +49,7 @@ def _(t):
     1000.0::double, 6) as gwh from generation_named where {_recent('generation_named', 30)}
     group by 1""", "generation_named"))
 def _(t):
-    return q6(reports.fuel_mix_recent(t.generation_named), "gwh")
+    return q6(reports.fuel_mix_recent(t.generation_stored), "gwh")
 
 
 @query("l5_price_trend", sql(f"""select region_name, {_M}, round(avg(avg_rrp), 6) as avg_rrp
@@ -87,7 +87,7 @@ def _(t):
     / 1000.0::double, 6) as gwh from generation_named where {_recent('generation_named', 90)}
     group by 1, 2""", "generation_named"))
 def _(t):
-    return q6(reports.mix_by_region(t.generation_named), "gwh")
+    return q6(reports.mix_by_region(t.generation_stored), "gwh")
 
 
 @query("l11_carbon_trend", sql(f"""select region_name, {_M}, {_CARBON} as carbon_intensity
@@ -99,7 +99,7 @@ def _(t):
 @query("l12_carbon_latest", sql(f"""select region_name, {_CARBON} as carbon_intensity
     from energy_named where {_recent('energy_named', 30)} group by 1""", "energy_named"))
 def _(t):
-    return q6(reports.ci_latest(t.energy_named), "carbon_intensity")
+    return q6(reports.ci_latest(t.energy_stored), "carbon_intensity")
 
 
 @query("l13_regions", sql("select distinct region_name from region_daily_named",
@@ -232,7 +232,7 @@ def _export(name: str, oracle: str) -> None:
     from voltspan.session import stage
 
     def run(t):
-        out = stage(export_frames(t)[name], f"export-{name}")
+        out = stage(export_frames(t)[name](), f"export-{name}")
         if name == "generation_daily":
             return q6(out, "generation_mwh")
         return out.drop("generated_at")

@@ -131,7 +131,7 @@ def _(t):
 def _(t):
     sheet = t.registry.drop("Dispatch Type")  # the sheet lacks one column
     path = fresh_path(t.spark, "registry")
-    keep = {"header": "true", "nullValue": "\\N", "emptyValue": "\"\"",
+    keep = {"header": "true", "nullValue": "\\N", "emptyValue": '""',
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     sheet.write.options(**keep).csv(path)
     schema = ", ".join(f"`{c}` string" for c in sheet.columns)
@@ -277,7 +277,8 @@ def _(t):
 def _(t):
     from voltspan.plans.pipeline import export_frames
 
-    return sinks.export_parquet(export_frames(t), fresh_path(t.spark, "exports"))
+    frames = {name: build() for name, build in export_frames(t).items()}
+    return sinks.export_parquet(frames, fresh_path(t.spark, "exports"))
 
 
 @query("b6_read_back", sql("""select count(*) as n, min(settlement_date) as first_ts,

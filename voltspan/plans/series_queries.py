@@ -17,7 +17,7 @@ from voltspan.plans.registry import q6, query
     from generation_named where settlement_day >= (select max(settlement_day) - interval '90 days'
     from generation_named) group by 1, 2)""", "generation_named"))
 def _(t):
-    return q6(reports.with_region_share(reports.mix_by_region(t.generation_named)), "gwh", "share")
+    return q6(reports.with_region_share(reports.mix_by_region(t.generation_stored)), "gwh", "share")
 
 
 @query("g3_seasonal_lag", sql("""select unique_id, ds, y, lag(y, 7) over (partition by unique_id
