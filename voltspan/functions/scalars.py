@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,27 +41,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_away(x: Column | str, digits: int = 0) -> Column:
-    """Round a double half away from zero on its binary value.
+def _rounded_sql(x: str, digits: int) -> str:
+    scaled = f"(abs({x}) * 1e{digits}d)"
+    whole = f"signum({x}) * floor({scaled} + 0.5d) / 1e{digits}d"
+    return f"(case when {scaled} < {2**52}d then {whole} else {x} end)"
+
+
+def round_half_away(x: str, digits: int = 0) -> Column:
+    """Round a double, given as SQL text (a column name or an expression), half away from
+    zero on its binary value.
 
     ``F.round`` rounds the printed decimal, so 1.005 would give 1.01 at two digits; the
     binary value lies below the tie and must give 1.00. Magnitudes beyond 2^52 units carry
     no further fraction and pass through, which also keeps the integer floor from
     overflowing on very large totals.
     """
-    x = _col(x).cast("double")
-    scale = float(10**digits)
-    scaled = F.abs(x) * F.lit(scale)
-    return F.when(
-        scaled < F.lit(float(2**52)),
-        F.signum(x) * F.floor(scaled + F.lit(0.5)) / F.lit(scale),
-    ).otherwise(x)
+    return F.expr(_rounded_sql(f"cast({x} as double)", digits))
 
 
-def settle(x: Column | str, digits: int) -> Column:
+def settle(x: str, digits: int) -> Column:
     """Round an inexact sum or mean: to six digits first, so that the order in which
     partitions were summed cannot tip a half-way case, then to the wanted digits."""
-    return round_half_away(round_half_away(x, 6), digits)
+    return F.expr(_rounded_sql(_rounded_sql(f"cast({x} as double)", 6), digits))
 
 
 def surrogate_key(*cols: Column | str) -> Column:
@@ -149,19 +148,18 @@ def file_month(path: Column | str, prefix: str) -> Column:
     return F.regexp_extract(_col(path), prefix + r"_(\d{6})", 1)
 
 
-def _mentions(text: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words], F.lit(False))
+def classify_fueltech(fuel: str, technology: str) -> Column:
+    """One of 14 fuel-tech labels from the two free-text columns."""
+    fuel_text, tech_text = (f"lower(coalesce({c}, ''))" for c in (fuel, technology))
 
+    def mentions(text: str, words: list[str]) -> str:
+        return " or ".join(f"contains({text}, '{w}')" for w in words) or "false"
 
-def classify_fueltech(fuel: Column | str, technology: Column | str) -> Column:
-    """One of 14 fuel-tech labels from the two free-text descriptors."""
-    fuel_text = F.lower(F.coalesce(_col(fuel), F.lit("")))
-    tech_text = F.lower(F.coalesce(_col(technology), F.lit("")))
-    gas = F.lit("gas_other")
-    for label, words in reversed(GAS_RULES):
-        gas = F.when(_mentions(tech_text, words), label).otherwise(gas)
-    result = F.lit("other")
-    for label, fuel_words, tech_words in reversed(FUEL_RULES):
-        hit = _mentions(fuel_text, fuel_words) | _mentions(tech_text, tech_words)
-        result = F.when(hit, gas if label == "gas" else F.lit(label)).otherwise(result)
-    return result
+    gas = " ".join(f"when {mentions(tech_text, words)} then '{g}'" for g, words in GAS_RULES)
+    gas = f"(case {gas} else 'gas_other' end)"
+    arms = " ".join(
+        f"when {mentions(fuel_text, in_fuel)} or {mentions(tech_text, in_tech)} then "
+        + (gas if label == "gas" else f"'{label}'")
+        for label, in_fuel, in_tech in FUEL_RULES
+    )
+    return F.expr(f"case {arms} else 'other' end")

@@ -54,32 +54,32 @@ def score_prices(daily: DataFrame, train_end: str = TRAIN_END) -> DataFrame:
         F.percentile("_e", F.array(F.lit(LOWER), F.lit(UPPER))).alias("_q"),
         F.stddev_samp("_e").alias("_sd"),
     )
-    y, expected = F.col("y"), F.coalesce("_mean", "_overall")
     scored = (
         score.join(spread.join(overall, "region"), "region")
         .join(profile.select(*keys, "_mean"), keys, "left")
-        .withColumn("_expected", expected)
-        .withColumn("_low", F.col("_expected") + F.element_at("_q", 1))
-        .withColumn("_high", F.col("_expected") + F.element_at("_q", 2))
+        .withColumn("_expected", F.coalesce("_mean", "_overall"))
+        .withColumns({
+            "_low": F.col("_expected") + F.element_at("_q", 1),
+            "_high": F.col("_expected") + F.element_at("_q", 2),
+        })
     )
     return scored.select(
         "region",
         "settlement_day",
-        X.settle(y, 2).alias("avg_rrp"),
+        X.settle("y", 2).alias("avg_rrp"),
         X.settle("_expected", 2).alias("expected_rrp"),
         X.settle("_low", 2).alias("lower_bound"),
         X.settle("_high", 2).alias("upper_bound"),
-        ((y < F.col("_low")) | (y > F.col("_high"))).alias("is_anomaly"),
-        X.settle(X.safe_ratio(y - F.col("_expected"), F.col("_sd")), 2).alias("distance"),
+        F.expr("y < _low or y > _high").alias("is_anomaly"),
+        X.settle("(y - _expected) / nullif(_sd, 0d)", 2).alias("distance"),
     )
 
 
 def flag_rate(scored: DataFrame) -> DataFrame:
-    flagged, total = F.count_if("is_anomaly"), F.count(F.lit(1))
     return scored.agg(
-        flagged.alias("flagged"),
-        total.alias("scored"),
-        X.settle(F.try_divide(F.lit(100.0) * flagged, total), 1).alias("flagged_pct"),
+        F.count_if("is_anomaly").alias("flagged"),
+        F.count(F.lit(1)).alias("scored"),
+        X.settle("try_divide(100d * count_if(is_anomaly), count(1))", 1).alias("flagged_pct"),
     )
 
 

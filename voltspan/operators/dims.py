@@ -23,22 +23,21 @@ def last_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def unit_seed(registry: DataFrame) -> DataFrame:
-    """Registry rows -> one row per unit: blank ids dropped, text trimmed, fuel-tech
-    classified, the last row in file order kept."""
-    rows = registry.select(
-        "ordinal",
-        X.clean_text("DUID").alias("duid"),
+    """Registry rows -> one row per unit: blank ids dropped, the last row in file order kept,
+    text trimmed, fuel-tech classified."""
+    keyed = registry.withColumn("DUID", X.clean_text("DUID")).filter(F.length("DUID") > 0)
+    rows = last_per_key(keyed, "DUID", "ordinal")
+    fuel, technology = "`Fuel Source - Descriptor`", "`Technology Type - Descriptor`"
+    return rows.select(
+        F.col("DUID").alias("duid"),
         X.clean_text("`Station Name`").alias("station_name"),
         X.clean_text("Region").alias("region"),
         X.clean_text("`Dispatch Type`").alias("dispatch_type"),
-        X.clean_text("`Fuel Source - Descriptor`").alias("fuel_source"),
-        X.clean_text("`Technology Type - Descriptor`").alias("technology"),
-        X.classify_fueltech(
-            "`Fuel Source - Descriptor`", "`Technology Type - Descriptor`"
-        ).alias("fueltech"),
+        X.clean_text(fuel).alias("fuel_source"),
+        X.clean_text(technology).alias("technology"),
+        X.classify_fueltech(fuel, technology).alias("fueltech"),
         F.coalesce("`Reg Cap generation (MW)`", F.lit("")).alias("reg_cap_mw"),
-    ).filter(F.length("duid") > 0)
-    return last_per_key(rows, "duid", "ordinal").drop("ordinal")
+    )
 
 
 def dim_duid(units: DataFrame) -> DataFrame:

@@ -50,17 +50,16 @@ def region_day_buckets(fact: DataFrame) -> DataFrame:
 
 def region_day_totals(buckets: DataFrame) -> DataFrame:
     """Everything of the daily rollup but the median."""
-    rows = F.sum("_rows")
     return buckets.groupBy(*REGION_DAY).agg(
-        rows.alias("interval_count"),
-        X.settle(F.try_divide(F.sum("_sum"), F.sum("_n")), 2).alias("avg_rrp"),
-        X.round_half_away(F.min("_lo"), 2).alias("min_rrp"),
-        X.round_half_away(F.max("_hi"), 2).alias("max_rrp"),
+        F.sum("_rows").alias("interval_count"),
+        X.settle("try_divide(sum(_sum), sum(_n))", 2).alias("avg_rrp"),
+        X.round_half_away("min(_lo)", 2).alias("min_rrp"),
+        X.round_half_away("max(_hi)", 2).alias("max_rrp"),
         F.sum("_negative").alias("negative_price_intervals"),
-        X.settle(F.lit(100.0) * F.sum("_negative") / rows, 2).alias("negative_price_pct"),
-        X.settle(F.try_divide(F.sum("_demand"), F.sum("_demand_n")), 1).alias("avg_demand_mw"),
-        X.round_half_away(F.max("_demand_hi"), 1).alias("peak_demand_mw"),
-        X.round_half_away(F.min("_demand_lo"), 1).alias("min_demand_mw"),
+        X.settle("100d * sum(_negative) / sum(_rows)", 2).alias("negative_price_pct"),
+        X.settle("try_divide(sum(_demand), sum(_demand_n))", 1).alias("avg_demand_mw"),
+        X.round_half_away("max(_demand_hi)", 1).alias("peak_demand_mw"),
+        X.round_half_away("min(_demand_lo)", 1).alias("min_demand_mw"),
     )
 
 
@@ -147,15 +146,14 @@ def fct_region_energy_daily(daily: DataFrame, fueltechs: DataFrame) -> DataFrame
         F.sum(F.when(F.col("is_renewable"), mwh).otherwise(0.0)).alias("_renewable"),
         F.sum(mwh * F.col("emission_factor_t_co2_per_mwh")).alias("_emissions"),
     )
-    total, renewable, emissions = F.col("_total"), F.col("_renewable"), F.col("_emissions")
     return totals.select(
         "region",
         "settlement_day",
-        X.settle(total, 1).alias("total_generation_mwh"),
-        X.settle(renewable, 1).alias("renewable_mwh"),
-        X.settle(X.safe_ratio(F.lit(100.0) * renewable, total), 2).alias("renewable_share_pct"),
-        X.settle(emissions, 1).alias("est_emissions_tco2"),
-        X.settle(X.safe_ratio(F.lit(1000.0) * emissions, total), 1).alias(
+        X.settle("_total", 1).alias("total_generation_mwh"),
+        X.settle("_renewable", 1).alias("renewable_mwh"),
+        X.settle("100d * _renewable / nullif(_total, 0d)", 2).alias("renewable_share_pct"),
+        X.settle("_emissions", 1).alias("est_emissions_tco2"),
+        X.settle("1000d * _emissions / nullif(_total, 0d)", 1).alias(
             "est_carbon_intensity_kg_per_mwh"
         ),
     )

@@ -124,10 +124,15 @@ def unpivot_models(wide: DataFrame, ids: list[str], models: list[str]) -> DataFr
 
 def error_scores(scored: DataFrame, keys: list[str]) -> DataFrame:
     """MAE, RMSE (1 digit) and MAPE (2 digits) of ``y`` against ``y_hat`` per key."""
-    return scored.groupBy(*keys).agg(
-        X.settle(F.avg(F.abs(F.col("y") - F.col("y_hat"))), 1).alias("mae"),
-        X.settle(F.sqrt(F.avg(X.squared_error("y", "y_hat"))), 1).alias("rmse"),
-        X.settle(F.avg(X.percent_error("y", "y_hat")), 2).alias("mape"),
+    terms = scored.withColumns({
+        "_ae": F.abs(F.col("y") - F.col("y_hat")),
+        "_se": X.squared_error("y", "y_hat"),
+        "_ape": X.percent_error("y", "y_hat"),
+    })
+    return terms.groupBy(*keys).agg(
+        X.settle("avg(_ae)", 1).alias("mae"),
+        X.settle("sqrt(avg(_se))", 1).alias("rmse"),
+        X.settle("avg(_ape)", 2).alias("mape"),
     )
 
 
@@ -195,7 +200,7 @@ def mean_score(scores: DataFrame) -> DataFrame:
     """Mean MAPE over regions per engine and model, best first."""
     return (
         scores.groupBy("engine", "model")
-        .agg(X.settle(F.avg("mape"), 2).alias("avg_mape"))
+        .agg(X.settle("avg(mape)", 2).alias("avg_mape"))
         .orderBy("avg_mape", "engine", "model")
     )
 
@@ -205,9 +210,5 @@ def gain_over_baseline(scores: DataFrame, baseline: str = "SeasonalNaive") -> Da
     base = F.max(F.when(F.col("model") == baseline, F.col("mape")))
     naive = scores.groupBy("region").agg(base.alias("_base"))
     return scores.filter(F.col("model") != baseline).join(naive, "region").select(
-        "region",
-        "model",
-        X.round_half_away(
-            X.safe_ratio(F.col("_base") - F.col("mape"), F.col("_base")), 6
-        ).alias("gain"),
+        "region", "model", X.round_half_away("(_base - mape) / nullif(_base, 0d)", 6).alias("gain")
     )

@@ -15,8 +15,8 @@ def price_coverage(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.min("settlement_date").alias("first_ts"),
         F.max("settlement_date").alias("last_ts"),
-        X.settle(F.avg("rrp_aud_mwh"), 2).alias("avg_rrp"),
-        X.settle(F.avg("total_demand_mw"), 0).alias("avg_dmd"),
+        X.settle("avg(rrp_aud_mwh)", 2).alias("avg_rrp"),
+        X.settle("avg(total_demand_mw)", 0).alias("avg_dmd"),
     )
 
 
@@ -66,7 +66,8 @@ def top_fueltechs(raw: DataFrame, units: DataFrame, n: int = 8) -> DataFrame:
         .join(labels, "duid", "left")
         .groupBy(F.coalesce("fueltech", F.lit("UNMAPPED")).alias("ft"))
         .agg(F.sum("mw").alias("mw"))
-        .select("ft", X.settle(X.mwh_from_mw("mw") / F.lit(1000.0), 1).alias("gwh"))
+        .withColumn("gwh", X.mwh_from_mw("mw") / F.lit(1000.0))
+        .select("ft", X.settle("gwh", 1).alias("gwh"))
         .orderBy(F.col("gwh").desc(), "ft")
         .limit(n)
     )

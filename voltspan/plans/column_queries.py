@@ -225,12 +225,11 @@ def _(t):
     1) as r1, round(l_extendedprice * l_discount, 2) as r2, round(5.0::double - l_quantity /
     4.0::double, 0) as r0 from lineitem"""))
 def _(t):
-    price = F.col("l_extendedprice")
     return t.table("lineitem").select(
         "l_orderkey", "l_linenumber",
-        X.round_half_away(price / F.lit(7.0), 1).alias("r1"),
-        X.round_half_away(price * F.col("l_discount"), 2).alias("r2"),
-        X.round_half_away(F.lit(5.0) - F.col("l_quantity") / F.lit(4.0), 0).alias("r0"),
+        X.round_half_away("l_extendedprice / 7d", 1).alias("r1"),
+        X.round_half_away("l_extendedprice * l_discount", 2).alias("r2"),
+        X.round_half_away("5d - l_quantity / 4d", 0).alias("r0"),
     )
 
 

@@ -131,8 +131,9 @@ def _(t):
     is_negative_price then 1 else 0 end) / count(*)''', 2)} as pct from fct_price group by 1""",
     "fct_price"))
 def _(t):
-    share = F.lit(100.0) * F.count_if("is_negative_price") / F.count(F.lit(1))
-    return t.fct_price.groupBy("region").agg(X.settle(share, 2).alias("pct"))
+    return t.fct_price.groupBy("region").agg(
+        X.settle("100d * count_if(is_negative_price) / count(1)", 2).alias("pct")
+    )
 
 
 @query("f5_generation_half_hour", sql("""select * replace (round(generation_mwh, 6) as

@@ -185,7 +185,7 @@ def bench(benchmark: DataFrame) -> DataFrame:
 def bench_avg(benchmark: DataFrame) -> DataFrame:
     return (
         benchmark.groupBy("model", "engine")
-        .agg(X.settle(F.avg("mape"), 2).alias("avg_mape"))
+        .agg(X.settle("avg(mape)", 2).alias("avg_mape"))
         .orderBy("avg_mape", "model", "engine")
     )
 
@@ -212,9 +212,7 @@ def negative_share_by_year(fact: DataFrame, by_region: bool = False) -> DataFram
     """Share of intervals below zero, weighted by interval, from the atomic fact."""
     keys = [F.year("settlement_day").alias("year")] + ([F.col("region")] if by_region else [])
     return fact.groupBy(*keys).agg(
-        X.settle(
-            F.lit(100.0) * F.count_if("is_negative_price") / F.count(F.lit(1)), 2
-        ).alias("negative_pct")
+        X.settle("100d * count_if(is_negative_price) / count(1)", 2).alias("negative_pct")
     )
 
 
@@ -224,13 +222,13 @@ def transition_ranking(energy: DataFrame, daily: DataFrame) -> DataFrame:
     Ranks are over one row per region.
     """
     renewable = energy.groupBy("region").agg(
-        X.round_half_away(_share("renewable_mwh", "total_generation_mwh"), 6).alias(
-            "renewable_share"
-        )
+        X.round_half_away(
+            "sum(renewable_mwh) / nullif(sum(total_generation_mwh), 0d)", 6
+        ).alias("renewable_share")
     )
     negative = daily.groupBy("region").agg(
         X.round_half_away(
-            X.safe_ratio(F.sum("negative_price_intervals"), F.sum("interval_count")), 6
+            "sum(negative_price_intervals) / nullif(sum(interval_count), 0)", 6
         ).alias("negative_share")
     )
 

@@ -131,7 +131,7 @@ def _(t):
 def _(t):
     sheet = t.registry.drop("Dispatch Type")  # the sheet lacks one column
     path = fresh_path(t.spark, "registry")
-    keep = {"header": "true", "nullValue": "\\N", "emptyValue": '""',
+    keep = {"header": "true", "nullValue": "\\N",
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     sheet.write.options(**keep).csv(path)
     schema = ", ".join(f"`{c}` string" for c in sheet.columns)

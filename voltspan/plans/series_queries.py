@@ -206,7 +206,7 @@ def _(t):
 
     return t.price_anomalies.groupBy("region").agg(
         F.count_if("is_anomaly").alias("flagged"),
-        settle(F.max("surprise_aud_mwh"), 2).alias("top_surprise"),
+        settle("max(surprise_aud_mwh)", 2).alias("top_surprise"),
     )
 
 

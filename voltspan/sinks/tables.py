@@ -15,12 +15,19 @@ def ensure_schemas(spark: SparkSession, names: list[str] = SCHEMAS) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Rows of a table partition brought together before the write, so that not every task
+    writes a small file into every partition. The rebalance hint lets the adaptive planner
+    split a partition that holds most of the rows and merge small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_table(
     df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None
 ) -> DataFrame:
     """Create or replace a table with the rows of ``df`` and return it; with ``path`` the
     files lie there instead of in the warehouse folder."""
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = _clustered(df, partition_by).write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -42,8 +49,10 @@ def declare_table(
 
 def append_rows(df: DataFrame, name: str) -> None:
     """Append by column name into a declared table."""
-    target = df.sparkSession.table(name)
-    df.select(*target.columns).write.mode("append").insertInto(name)
+    spark = df.sparkSession
+    keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    rows = df.select(*spark.table(name).columns)
+    _clustered(rows, keys).write.mode("append").insertInto(name)
 
 
 def staging_view(df: DataFrame, name: str) -> DataFrame:

@@ -39,20 +39,34 @@ DESCRIPTORS = [
 ]
 
 
+# declared schemas of the supplied tables in use; reading without one costs a job per table
+SUPPLIED = {
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SUPPLIED[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list[str | None], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int") + 1)
+def _pick(values: list[str | None], index: str) -> Column:
+    """The list's element at a zero-based position given as SQL text."""
+    items = ", ".join("cast(null as string)" if v is None else f"'{v}'" for v in values)
+    return F.expr(f"element_at(array({items}), cast({index} as int) + 1)")
 
 
-def event_region(c: Column | str = "event_type") -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    out = F.lit(None).cast("string")
-    for event, region in reversed(EVENT_REGION):
-        out = F.when(c == event, region).otherwise(out)
-    return out
+def event_region() -> Column:
+    arms = " ".join(f"when '{event}' then '{region}'" for event, region in EVENT_REGION)
+    return F.expr(f"case event_type {arms} end")
 
 
 def price_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +112,10 @@ def unit_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("ordinal"),
         F.when(size == 50, F.lit("  ")).when(size != 49, unit).alias("DUID"),
         F.concat(F.col("p_name"), F.lit(" ")).alias("Station Name"),
-        _pick(PART_REGION, size % 12).alias("Region"),
+        _pick(PART_REGION, "p_size % 12").alias("Region"),
         F.col("p_brand").alias("Dispatch Type"),
-        _pick([f for f, _ in DESCRIPTORS], key % 21).alias("Fuel Source - Descriptor"),
-        _pick([t for _, t in DESCRIPTORS], key % 21).alias("Technology Type - Descriptor"),
+        _pick([f for f, _ in DESCRIPTORS], "p_partkey % 21").alias("Fuel Source - Descriptor"),
+        _pick([t for _, t in DESCRIPTORS], "p_partkey % 21").alias("Technology Type - Descriptor"),
         F.when(size % 10 == 0, F.lit(""))
         .when(size % 10 == 1, F.lit("n/a"))
         .otherwise(F.col("p_retailprice").cast("string"))
@@ -113,10 +127,9 @@ def region_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """region -> region seed rows, joined on nothing: the key picks the market region."""
     from voltspan.sources.reference import REGIONS
 
-    key = F.col("r_regionkey")
     return table(spark, sf_dir, "region").select(
         *[
-            _pick([r[i] for r in REGIONS], key).alias(name)
+            _pick([r[i] for r in REGIONS], "r_regionkey").alias(name)
             for i, name in enumerate(["region_id", "region_name", "state", "timezone"])
         ]
     )
@@ -127,12 +140,12 @@ def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(
-            _pick(MARKET_REGIONS, F.col("l_suppkey") % 5).alias("region"),
+            _pick(MARKET_REGIONS, "l_suppkey % 5").alias("region"),
             F.to_date("l_shipdate").alias("settlement_day"),
         )
         .agg(
             F.count(F.lit(1)).alias("interval_count"),
-            settle(F.avg("l_quantity"), 2).alias("avg_rrp"),
+            settle("avg(l_quantity)", 2).alias("avg_rrp"),
             F.sum("l_quantity").alias("avg_demand_mw"),
         )
     )

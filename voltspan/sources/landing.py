@@ -102,9 +102,9 @@ def _first_member_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
 def scada_zip(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Monthly archives -> unit readings.
 
-    A zip cannot be split, so an archive is one unit of work; the text inside streams out in
-    batches and is never held whole. Spark spreads the archives over tasks, and the rows are
-    spread again before parsing because one archive expands about tenfold.
+    A zip cannot be split, so an archive is one unit of work: Spark packs whole archives into
+    tasks by their size, the text inside streams out in batches and is never held whole, and
+    the parsed readings follow in the same task without a shuffle.
     """
     archives = (
         spark.read.format("binaryFile")

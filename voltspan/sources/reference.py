@@ -34,12 +34,18 @@ FUELTECHS = [
 ]
 
 
+def _rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """An inline table, which the planner knows to be tiny."""
+    values = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+    return spark.sql(f"select * from values {values} as t({', '.join(names)})")
+
+
 def region_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGIONS, schemas.REGION)
+    return _rows(spark, REGIONS, schemas.REGION.names)
 
 
 def fueltech_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FUELTECHS, schemas.FUELTECH)
+    return _rows(spark, FUELTECHS, schemas.FUELTECH.names)
 
 
 def seed_csv(spark: SparkSession, path: str, schema) -> DataFrame:
