@@ -161,4 +161,9 @@ def test_daily_energy_is_the_sum_of_half_hours(spark):
     a = half.agg(F.sum("generation_mwh")).first()[0]
     b = marts.fct_generation_daily(half).agg(F.sum("generation_mwh")).first()[0]
     assert abs(a - b) < 1e-9
+    scada = staging.stg_dispatch_scada(scada_rows(spark, readings))
+    for broadcast in (True, False):
+        direct = marts.generation_daily_from_readings(scada, dims.dim_duid(units(spark)), broadcast)
+        c = direct.agg(F.sum("generation_mwh"), F.count("*")).first()
+        assert abs(a - c[0]) < 1e-9 and c[1] == 3
     assert abs(a - sum(max(mw, 0) for _, _, mw in readings[:-1]) / 12) < 1e-6

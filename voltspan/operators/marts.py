@@ -100,18 +100,18 @@ def _energy(mw: Column) -> list[Column]:
     return [mwh.alias("generation_mwh"), (mwh * F.lit(2.0)).alias("generation_avg_mw")]
 
 
-def fct_generation(scada: DataFrame, units: DataFrame, broadcast_units: bool | None = None) -> DataFrame:
-    """Energy by region, fuel-tech and 30 minutes; charging counts as zero.
+def _output_by(
+    scada: DataFrame, units: DataFrame, period: Column, name: str, broadcast_units: bool | None
+) -> DataFrame:
+    """Positive output summed by region, fuel-tech and period.
 
     While the unit table passes the size check it is broadcast: one map-side-combined
-    shuffle. Beyond that the readings are first summed per (unit, half hour), which spreads
-    a hot unit over its half hours and shrinks the rows that take part in the shuffle join;
-    sums of sums are the same totals.
+    shuffle. Beyond that the readings are first summed per (unit, period), which spreads a
+    hot unit over its periods and shrinks the rows that take part in the shuffle join; sums
+    of sums are the same totals.
     """
     readings = scada.select(
-        "duid",
-        X.half_hour("settlement_date").alias("interval_start"),
-        X.positive_part("scada_mw").alias("mw"),
+        "duid", period.alias(name), X.positive_part("scada_mw").alias("mw")
     )
     labels = units.select("duid", "region", "fueltech")
     if broadcast_units is None:
@@ -119,19 +119,42 @@ def fct_generation(scada: DataFrame, units: DataFrame, broadcast_units: bool | N
     if broadcast_units:
         joined = readings.join(F.broadcast(labels), "duid")
     else:
-        joined = readings.groupBy("duid", "interval_start").agg(F.sum("mw").alias("mw")).join(
-            labels, "duid"
-        )
-    totals = joined.groupBy("region", "fueltech", "interval_start").agg(F.sum("mw").alias("mw"))
-    return totals.select("region", "fueltech", "interval_start", *_energy(F.col("mw")))
+        joined = readings.groupBy("duid", name).agg(F.sum("mw").alias("mw")).join(labels, "duid")
+    return joined.groupBy("region", "fueltech", name).agg(F.sum("mw").alias("mw"))
+
+
+def fct_generation(
+    scada: DataFrame, units: DataFrame, broadcast_units: bool | None = None
+) -> DataFrame:
+    """Energy by region, fuel-tech and 30 minutes; charging counts as zero.
+
+    ``broadcast_units`` states the result of a size check made by the caller; None checks here.
+    """
+    name = "interval_start"
+    totals = _output_by(scada, units, X.half_hour("settlement_date"), name, broadcast_units)
+    return totals.select("region", "fueltech", name, *_energy(F.col("mw")))
 
 
 def fct_generation_daily(generation: DataFrame) -> DataFrame:
+    """Daily energy from the stored 30-minute fact."""
     return generation.groupBy(
         "region", "fueltech", F.to_date("interval_start").alias("settlement_day")
     ).agg(F.sum("generation_mwh").alias("generation_mwh"))
 
 
+def generation_daily_from_readings(
+    scada: DataFrame, units: DataFrame, broadcast_units: bool | None = None
+) -> DataFrame:
+    """The same daily energy straight from the readings, for when the 30-minute fact is not
+    kept: a reading and its bucket share the calendar day, so the 30-minute level, and the
+    shuffle of its many rows, can be left out."""
+    name = "settlement_day"
+    totals = _output_by(scada, units, X.settlement_day("settlement_date"), name, broadcast_units)
+    return totals.select(
+        "region", "fueltech", name, X.mwh_from_mw("mw").alias("generation_mwh")
+    )
+
+
 def fct_region_energy_daily(daily: DataFrame, fueltechs: DataFrame) -> DataFrame:
     """Renewable share, emissions and carbon intensity per region and day.
 

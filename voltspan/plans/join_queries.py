@@ -157,6 +157,13 @@ def _(t):
 @query("f6_generation_daily", sql("""select * replace (round(generation_mwh, 6) as
     generation_mwh) from generation_daily""", "generation_daily"))
 def _(t):
+    return q6(marts.fct_generation_daily(t.generation), "generation_mwh")
+
+
+@query("f6_generation_daily_direct", sql("""select * replace (round(generation_mwh, 6) as
+    generation_mwh) from generation_daily""", "generation_daily"))
+def _(t):
+    """The same table without the 30-minute level in between."""
     return q6(t.generation_daily, "generation_mwh")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from voltspan.functions import scalars as X
 from voltspan.operators import anomalies, dims, forecast, marts, series, staging
-from voltspan.session import stage
+from voltspan.session import fits_broadcast, stage
 from voltspan.sources import adapters, reference
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,9 +64,16 @@ class Tables:
     def registry(self) -> DataFrame:
         return adapters.unit_registry(self.spark, self.sf_dir)
 
+    @cached_property
+    def few_units(self) -> bool:
+        """Size check of the registry itself, which bounds the unit table; the count comes
+        from file footers."""
+        return fits_broadcast(self.registry)
+
     @cached_property
     def unit_seed(self) -> DataFrame:
-        return stage(dims.unit_seed(self.registry), "units")
+        units = dims.unit_seed(self.registry)
+        return units if self.few_units else stage(units, "units")
 
     @cached_property
     def dim_duid(self) -> DataFrame:
@@ -90,11 +97,13 @@ class Tables:
 
     @cached_property
     def generation(self) -> DataFrame:
-        return marts.fct_generation(self.stg_scada, self.dim_duid)
+        return marts.fct_generation(self.stg_scada, self.dim_duid, self.few_units or None)
 
     @cached_property
     def generation_daily(self) -> DataFrame:
-        return marts.fct_generation_daily(self.generation)
+        return marts.generation_daily_from_readings(
+            self.stg_scada, self.dim_duid, self.few_units or None
+        )
 
     @cached_property
     def generation_named(self) -> DataFrame:

@@ -72,8 +72,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when a bounded count shows the table is small enough to copy to every executor."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when a count shows the table is small enough to copy to every executor.
+
+    A plain count: it adds up per task, where a limit would first gather rows in one task.
+    """
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
