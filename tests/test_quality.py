@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from voltspan.operators import quality as Q
 
@@ -51,3 +52,8 @@ def test_mart_difference(spark):
     got = sorted(tuple(r) for r in Q.mart_difference(a, b).collect())
     assert got == [("x", day, 1, "left"), ("y", day, 2, "left"), ("y", day, 3, "right")]
     assert Q.mart_difference(a, a).count() == 0
+    sums = {"rows": F.count("*"), "total": F.sum("n")}
+    diff = Q.aggregate_difference(a, b, ["r"], sums).collect()
+    assert {(r.r, r.side, r.rows, r.total) for r in diff} == {
+        ("x", "left", 2, 2), ("x", "right", 1, 1), ("y", "left", 1, 2), ("y", "right", 1, 3)}
+    assert Q.aggregate_difference(a, a.repartition(3), ["r"], sums).count() == 0

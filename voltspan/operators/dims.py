@@ -71,8 +71,8 @@ def dim_fueltech(seed: DataFrame) -> DataFrame:
 def with_region_name(df: DataFrame, regions: DataFrame) -> DataFrame:
     """Inner join that adds ``region_name``. Every left column is kept.
 
-    ``regions`` holds one row per market region; the hint is safe for that fixed table and
-    the caller passes anything larger without it.
+    No hint: the region table's size is known to the planner, which broadcasts it while it
+    is below the session's threshold.
     """
     labels = regions.select(F.col("region_id").alias("region"), "region_name")
-    return df.join(F.broadcast(labels), "region").select(*df.columns, "region_name")
+    return df.join(labels, "region").select(*df.columns, "region_name")

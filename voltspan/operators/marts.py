@@ -158,11 +158,10 @@ def generation_daily_from_readings(
 def fct_region_energy_daily(daily: DataFrame, fueltechs: DataFrame) -> DataFrame:
     """Renewable share, emissions and carbon intensity per region and day.
 
-    Both ratios are null on a day without generation. ``fueltechs`` has 14 rows by definition.
+    Both ratios are null on a day without generation. The fuel-tech table carries its size
+    (an inline or stored table), so the planner broadcasts it without a hint.
     """
-    facts = F.broadcast(
-        fueltechs.select("fueltech", "is_renewable", "emission_factor_t_co2_per_mwh")
-    )
+    facts = fueltechs.select("fueltech", "is_renewable", "emission_factor_t_co2_per_mwh")
     mwh = F.col("generation_mwh")
     totals = daily.join(facts, "fueltech").groupBy("region", "settlement_day").agg(
         F.sum(mwh).alias("_total"),
@@ -231,8 +230,8 @@ def generation_labelled(
     fuel = fueltechs.select("fueltech", "fueltech_label", "fuel_group", "is_renewable")
     region = regions.select(F.col("region_id").alias("region"), "region_name")
     return (
-        daily.join(F.broadcast(fuel), "fueltech")
-        .join(F.broadcast(region), "region")
+        daily.join(fuel, "fueltech")
+        .join(region, "region")
         .select(
             "region", "region_name", "settlement_day", "fueltech", "fueltech_label", "fuel_group",
             "is_renewable", "generation_mwh",

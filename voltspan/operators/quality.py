@@ -10,11 +10,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltspan.session import fits_broadcast
-
 
 def not_null(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNull()).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0")
@@ -36,13 +34,12 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child values without a parent row; null passes."""
+    """Child values without a parent row; null passes. Both sides are reduced to distinct keys
+    first, so the adaptive planner can choose the join from their real sizes."""
     keys = (
         child.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
     )
     known = parent.select(F.col(parent_col).alias(col)).distinct()
-    if fits_broadcast(known):
-        known = F.broadcast(known)
     return keys.join(known, col, "left_anti")
 
 
@@ -117,6 +114,8 @@ def rng(table: str, col: str, low: float, high: float) -> Check:
 def standard_checks() -> list[Check]:
     """The checks every build must pass, table by table."""
     from voltspan.functions.scalars import MARKET_REGIONS
+    from voltspan.operators.forecast import MODELS
+    from voltspan.sources.reference import BENCHMARK_ENGINES
 
     region = ("dim_region", "region_id")
     fuel = ("dim_fueltech", "fueltech")
@@ -154,10 +153,10 @@ def standard_checks() -> list[Check]:
         # model results
         *nn("fct_demand_forecast", "region", "forecast_date", "predicted_demand_mw"),
         fk("fct_demand_forecast", "region", *region),
-        av("fct_demand_forecast", "model", ["SeasonalNaive", "AutoETS", "MSTL"]),
+        av("fct_demand_forecast", "model", MODELS),
         combo("fct_demand_forecast", "region", "model", "forecast_date"),
         *nn("fct_engine_benchmark", "region"), fk("fct_engine_benchmark", "region", *region),
-        av("fct_engine_benchmark", "engine", ["Snowflake ML", "Python"]),
+        av("fct_engine_benchmark", "engine", BENCHMARK_ENGINES),
         rng("fct_engine_benchmark", "mape", 0, 100),
         combo("fct_engine_benchmark", "region", "model"),
         *nn("fct_price_anomalies", "region", "settlement_day", "is_anomaly"),
@@ -202,7 +201,9 @@ def mart_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def aggregate_difference(left: DataFrame, right: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
+def aggregate_difference(
+    left: DataFrame, right: DataFrame, keys: list[str], aggs: dict[str, Column]
+) -> DataFrame:
     """Compare the same aggregates of two builds; returns the keys where they differ."""
     a = left.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
     b = right.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])

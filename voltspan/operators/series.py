@@ -6,7 +6,7 @@ by ``unique_id`` here is bounded by the length of the calendar, whatever the raw
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltspan.functions import scalars as X

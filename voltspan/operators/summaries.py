@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltspan.functions import scalars as X
-from voltspan.session import fits_broadcast
 
 
 def price_coverage(raw: DataFrame) -> DataFrame:
@@ -56,14 +55,12 @@ def unit_energy(raw: DataFrame) -> DataFrame:
 def top_fueltechs(raw: DataFrame, units: DataFrame, n: int = 8) -> DataFrame:
     """Fuel-techs by generated energy; units missing from the registry count as UNMAPPED.
 
-    Joins per-unit totals, not readings, so the join sees one row per unit.
+    Joins per-unit totals, not readings, so both sides have one row per unit and the adaptive
+    planner can choose the join from their real sizes.
     """
-    labels = units.select("duid", "fueltech")
-    if fits_broadcast(labels):
-        labels = F.broadcast(labels)
     return (
         unit_energy(raw)
-        .join(labels, "duid", "left")
+        .join(units.select("duid", "fueltech"), "duid", "left")
         .groupBy(F.coalesce("fueltech", F.lit("UNMAPPED")).alias("ft"))
         .agg(F.sum("mw").alias("mw"))
         .withColumn("gwh", X.mwh_from_mw("mw") / F.lit(1000.0))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voltspan.operators import anomalies, dims, forecast, marts, quality, series, staging
 from voltspan.sinks import tables as sinks
+from voltspan.sources import landing, reference, schemas
 
 
 def export_frames(t) -> dict[str, Callable[[], DataFrame]]:
@@ -23,6 +24,19 @@ def export_frames(t) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
+def load_raw(spark: SparkSession, price_paths, scada_paths, archived: bool = True) -> None:
+    """Landed files -> raw tables partitioned by load month. ``archived`` says whether the
+    unit output lies in monthly archives or in plain record files."""
+    sinks.ensure_schemas(spark)
+    price = landing.price_csv(spark, price_paths)
+    sinks.replace_table(price, "raw.price_demand", ["source_month"])
+    sinks.declare_table(
+        spark, "raw.dispatch_unit_scada", schemas.DISPATCH_SCADA, ["source_month"]
+    )
+    read = landing.scada_zip if archived else landing.scada_csv
+    sinks.append_rows(read(spark, scada_paths), "raw.dispatch_unit_scada")
+
+
 def build_price(spark: SparkSession, raw_price: DataFrame, region_seed: DataFrame) -> None:
     """Price vertical: one staging view, the atomic fact, the daily mart."""
     sinks.ensure_schemas(spark)
@@ -73,6 +87,48 @@ def build_anomalies(spark: SparkSession, train_end: str = anomalies.TRAIN_END) -
     sinks.replace_table(marts.fct_price_anomalies(scored), "marts.fct_price_anomalies")
 
 
+def build_benchmark(
+    spark: SparkSession,
+    external: DataFrame | None = None,
+    models: list[str] = forecast.MODELS,
+    min_intervals: int = series.MIN_INTERVALS,
+) -> None:
+    """All models, and any outside prediction set, on one train and holdout split."""
+    observed = series.daily_series(spark.table("marts.fct_region_daily"), min_intervals)
+    train, holdout = series.holdout_split(observed)
+    sets = forecast.benchmark_predictions(train, models)
+    if external is not None:
+        sets = sets.unionByName(external)
+    scores = series.engine_benchmark(holdout, sets)
+    sinks.replace_table(marts.fct_engine_benchmark(scores), "marts.fct_engine_benchmark")
+
+
+def refresh(
+    spark: SparkSession,
+    price_paths,
+    scada_paths,
+    registry: DataFrame,
+    archived: bool = True,
+    min_intervals: int = series.MIN_INTERVALS,
+    train_end: str = anomalies.TRAIN_END,
+) -> DataFrame:
+    """The whole run from landed files to checked marts; returns the check summary."""
+    load_raw(spark, price_paths, scada_paths, archived)
+    build_price(spark, spark.table("raw.price_demand"), reference.region_seed(spark))
+    units = dims.unit_seed(registry)
+    build_generation(
+        spark, spark.table("raw.dispatch_unit_scada"), units, reference.fueltech_seed(spark)
+    )
+    build_forecast(spark, min_intervals=min_intervals)
+    build_anomalies(spark, train_end)
+    build_benchmark(spark, min_intervals=min_intervals)
+    names = spark.catalog.listTables("marts")
+    tables = {t.name: spark.table(f"marts.{t.name}") for t in names if not t.isTemporary}
+    for view in ("stg_price_demand", "stg_dispatch_scada"):
+        tables[view] = spark.table(view)
+    return check_build(spark, tables)
+
+
 def check_build(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Run the checks whose tables are present and stop the build on any failure."""
     return quality.gate(quality.run_checks(quality.standard_checks(), tables))

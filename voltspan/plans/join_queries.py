@@ -28,7 +28,7 @@ def _(t):
     round(sum(generation_mwh), 6) as mwh from generation_daily join dim_fueltech using (fueltech)
     group by 1, 2, 3""", "generation_daily", "dim_fueltech"))
 def _(t):
-    fuel = F.broadcast(t.dim_fueltech.select("fueltech", "is_renewable"))
+    fuel = t.dim_fueltech.select("fueltech", "is_renewable")
     df = t.generation_daily.join(fuel, "fueltech").groupBy(
         "region", "settlement_day", "is_renewable"
     ).agg(F.sum("generation_mwh").alias("mwh"))
@@ -176,7 +176,7 @@ def _(t):
     emission_factor_t_co2_per_mwh), 6) as emissions from generation_daily
     join dim_fueltech using (fueltech) group by 1""", "generation_daily", "dim_fueltech"))
 def _(t):
-    fuel = F.broadcast(t.dim_fueltech.select("fueltech", "emission_factor_t_co2_per_mwh"))
+    fuel = t.dim_fueltech.select("fueltech", "emission_factor_t_co2_per_mwh")
     weighted = F.sum(F.col("generation_mwh") * F.col("emission_factor_t_co2_per_mwh"))
     df = t.generation_daily.join(fuel, "fueltech").groupBy("region").agg(
         weighted.alias("emissions")

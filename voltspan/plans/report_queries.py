@@ -228,7 +228,7 @@ def _(t):
 
 # ---------------------------------------------------------------------------- exports
 def _export(name: str, oracle: str) -> None:
-    from voltspan.plans.pipeline import export_frames
+    from voltspan.plans.build import export_frames
     from voltspan.session import stage
 
     def run(t):

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +41,7 @@ def land_price_files(t: Tables) -> str:
     return _write_by_file(rows, "csv", "price-files", header="true")
 
 
-def land_record_files(t: Tables) -> str:
+def record_lines(t: Tables) -> DataFrame:
     """Every reading as a data record; some records of another kind and short comment rows."""
     stamp = F.date_format("settlement_date", "yyyy/MM/dd HH:mm:ss")
     value = F.coalesce(F.col("scada_mw").cast("string"), F.lit("n/a"))
@@ -46,7 +51,7 @@ def land_record_files(t: Tables) -> str:
     )
     comment = F.concat(F.lit("C,"), F.col("duid"))
     other = F.concat(F.lit("I,DISPATCH,UNIT_SCADA,1,"), F.col("duid"))
-    rows = t.raw_scada.select(
+    return t.raw_scada.select(
         F.explode(
             F.when(F.col("scada_mw") > 35, F.array(record, comment))
             .when(F.col("scada_mw") < 0, F.array(record, other))
@@ -56,7 +61,22 @@ def land_record_files(t: Tables) -> str:
             "landing"
         ),
     )
-    return _write_by_file(rows, "text", "record-files")
+
+
+def land_record_files(t: Tables) -> str:
+    return _write_by_file(record_lines(t), "text", "record-files")
+
+
+def _zip_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines of one Arrow batch as one archive per month: bounded, whatever a month holds."""
+    for batch in batches:
+        out = []
+        for name, rows in batch.groupby("landing"):
+            buffer = io.BytesIO()
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(name, "\n".join(rows["value"]) + "\n")
+            out.append((name.replace(".csv", ".zip"), buffer.getvalue()))
+        yield pd.DataFrame(out, columns=["path", "content"])
 
 
 def scan_price_files(t: Tables) -> DataFrame:
@@ -124,6 +144,15 @@ def _(t):
     return summaries.rows_per_month(landing.scada_csv(t.spark, land_record_files(t)))
 
 
+@query("a9_zip_archives", sql("""select source_month, duid, count(*) as n, sum(scada_mw) as total
+    from scada group by 1, 2""", "scada"))
+def _(t):
+    archives = record_lines(t).mapInPandas(_zip_batch, "path string, content binary")
+    return landing.readings_from_archives(archives).groupBy("source_month", "duid").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("scada_mw").alias("total")
+    )
+
+
 @query("a10_registry_scan", sql("""select ordinal, duid as "DUID", station_name as
     "Station Name", region as "Region", cast(null as varchar) as "Dispatch Type",
     fuel_source as "Fuel Source - Descriptor", technology as "Technology Type - Descriptor",
@@ -275,7 +304,7 @@ def _(t):
     "region_daily", "generation_named", "energy_daily", "fc_mart", "accuracy", "dim_region",
     "price_demand"))
 def _(t):
-    from voltspan.plans.pipeline import export_frames
+    from voltspan.plans.build import export_frames
 
     frames = {name: build() for name, build in export_frames(t).items()}
     return sinks.export_parquet(frames, fresh_path(t.spark, "exports"))

@@ -99,20 +99,16 @@ def _first_member_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
                         yield pd.DataFrame({"source_file": path, "line": lines})
 
 
-def scada_zip(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Monthly archives -> unit readings.
+def readings_from_archives(archives: DataFrame) -> DataFrame:
+    """(path, content) of monthly archives -> unit readings.
 
     A zip cannot be split, so an archive is one unit of work: Spark packs whole archives into
     tasks by their size, the text inside streams out in batches and is never held whole, and
     the parsed readings follow in the same task without a shuffle.
     """
-    archives = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(paths)
-        .select(F.col("path"), "content")
+    lines = archives.select("path", "content").mapInPandas(
+        _first_member_lines, "source_file string, line string"
     )
-    lines = archives.mapInPandas(_first_member_lines, "source_file string, line string")
     ddl = ", ".join(f"{f.name} string" for f in schemas.RECORD_FILE)
     parsed = lines.select(
         F.from_csv("line", ddl, {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}).alias("r"),
@@ -121,6 +117,12 @@ def scada_zip(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return unit_readings(parsed)
 
 
+def scada_zip(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Zip files of a folder -> unit readings. Archives over 2 GB are refused by the reader."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return readings_from_archives(files)
+
+
 def registry_csv(spark: SparkSession, paths: str | list[str], header: list[str]) -> DataFrame:
     """Unit registry rows in file order. ``header`` names the file's columns, in order,
     one of them ``ordinal`` (the row number of the sheet); columns the sheet lacks are null."""
