@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voltspan.operators import anomalies, forecast, marts, series, summaries
 from voltspan.plans import reports
 from voltspan.plans.join_queries import _TOP
-from voltspan.plans.oracle import sql
+from voltspan.plans.oracle import r, sql
 from voltspan.plans.registry import q6, query
 
 
@@ -140,9 +140,10 @@ def _(t):
     )
 
 
-@query("j4_smoothing_backtest")
+@query("j4_smoothing_backtest", sql("""select * replace (round(y_hat, 6) as y_hat)
+    from smooth_bt""", "smooth_bt"))
 def _(t):
-    return forecast.backtest(t.series, ["AutoETS"])
+    return q6(forecast.backtest(t.series, ["AutoETS"]), "y_hat")
 
 
 @query("j5_decomposition_backtest")
@@ -157,6 +158,14 @@ def _(t):
     return q6(t.naive_forecast.drop("generated_at"), "predicted_demand_mw", "lo_90", "hi_90")
 
 
+@query("j6_smoothing_forecast_band", sql("""select region, model, forecast_date,
+    round(predicted_demand_mw, 6) as predicted_demand_mw, round(lo_90, 6) as lo_90,
+    round(hi_90, 6) as hi_90 from smooth_fc""", "smooth_fc"))
+def _(t):
+    ahead = forecast.demand_forecast(t.series, ["AutoETS"]).drop("generated_at")
+    return q6(ahead, "predicted_demand_mw", "lo_90", "hi_90")
+
+
 @query("j6_all_models_forecast")
 def _(t):
     return marts.fct_demand_forecast(forecast.demand_forecast(t.series)).drop("generated_at")
@@ -167,6 +176,15 @@ def _(t):
     return t.accuracy
 
 
+@query("j7_accuracy_two_models", sql(f"""select region, model, mae, rmse, mape, n_windows, horizon
+    from accuracy union all by name select unique_id as region, model,
+    {r('avg(abs(y - y_hat))', 1)} as mae, {r('sqrt(avg((y - y_hat) * (y - y_hat)))', 1)} as rmse,
+    {r('avg(abs(y - y_hat) / nullif(y, 0) * 100.0::double)', 2)} as mape, 6::int as n_windows,
+    7::int as horizon from smooth_bt group by 1, 2""", "accuracy", "smooth_bt"))
+def _(t):
+    return series.accuracy_table(forecast.backtest(t.series, ["SeasonalNaive", "AutoETS"]))
+
+
 @query("j7_accuracy_all_models")
 def _(t):
     return series.accuracy_table(forecast.backtest(t.series))
