@@ -294,6 +294,38 @@ def _(t):
     )
 
 
+@query("b3_marts_and_views", sql("""select region, settlement_day, interval_count, median_rrp
+    from region_daily""", "region_daily"))
+def _(t):
+    """Staging as a view, the fact and the daily mart as tables on top of it."""
+    view = sinks.staging_view(t.stg_price, "voltspan_staging_price")
+    fact = sinks.replace_table(
+        marts.fct_price_demand(view), "voltspan_fact", ["settlement_day"],
+        fresh_path(t.spark, "fact"),
+    )
+    daily = sinks.replace_table(
+        marts.fct_region_daily(fact), "voltspan_daily", path=fresh_path(t.spark, "daily")
+    )
+    return daily.select("region", "settlement_day", "interval_count", "median_rrp")
+
+
+@query("b4_named_schemas", sql("""select 'marts' as schema_name, region, count(*) as n
+    from region_daily group by 2 union all select 'raw', region, count(*) from price_demand
+    group by 2""", "region_daily", "price_demand"))
+def _(t):
+    names = ["raw", "marts"]
+    sinks.ensure_schemas(t.spark, names, fresh_path(t.spark, "schemas"))
+    raw, daily = "raw.voltspan_price_demand", "marts.voltspan_region_daily"
+    sinks.replace_table(t.raw_price, raw, path=fresh_path(t.spark, "raw"))
+    sinks.replace_table(t.region_daily, daily, path=fresh_path(t.spark, "daily"))
+    counts = [
+        t.spark.table(f"{schema}.{table}").groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(schema).alias("schema_name"), "region", "n")
+        for schema, table in (n.split(".") for n in (daily, raw))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @query("b5_exports", sql("""select 'region_daily' as name, (select count(*) from region_daily)
     as rows union all select 'generation_daily', (select count(*) from generation_named)
     union all select 'region_energy_daily', (select count(*) from energy_daily)

@@ -9,10 +9,14 @@ from pyspark.sql import types as T
 SCHEMAS = ["raw", "staging", "marts", "forecast"]
 
 
-def ensure_schemas(spark: SparkSession, names: list[str] = SCHEMAS) -> None:
-    """Schema names are used exactly as given, without a prefix."""
+def ensure_schemas(
+    spark: SparkSession, names: list[str] = SCHEMAS, folder: str | None = None
+) -> None:
+    """Schema names are used exactly as given, without a prefix; with ``folder`` their tables
+    lie there instead of in the warehouse folder."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        place = f" LOCATION '{folder}/{name}'" if folder else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
