@@ -67,7 +67,7 @@ def test_refresh_from_landed_files(spark, tmp_path, schemas):
     summary = build.refresh(
         spark, str(price), str(records), registry, min_intervals=20, train_end="2024-02-10")
     got = {(r.table_name, r.check_name): r.failures for r in summary.collect()}
-    assert len(got) == 62 and set(got.values()) == {0}
+    assert len(got) == 68 and set(got.values()) == {0}
     assert spark.table("raw.price_demand").count() == 2 * len(stamps)
     assert spark.table("raw.dispatch_unit_scada").count() == 2 * len(stamps)
     # the data ends on 1 March 00:00, which the trim removes

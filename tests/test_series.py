@@ -222,3 +222,11 @@ def test_anomalies(spark):
     # a month never seen in training falls back to the region's mean
     short = anomalies.score_prices(df.filter("settlement_day < '2024-03-01'"), "2023-02-28")
     assert short.filter("expected_rrp is null").count() == 0
+
+
+def test_region_without_training_days_keeps_its_scores(spark):
+    rows = [("NEW", dt.date(2024, 3, d), 50.0) for d in range(1, 6)]
+    rows += [("OLD", dt.date(2023, 3, d), 40.0 + d) for d in range(1, 20)]
+    df = spark.createDataFrame(rows, "region string, settlement_day date, avg_rrp double")
+    got = anomalies.score_prices(df, "2023-12-31").collect()
+    assert len(got) == 5 and all(r.lower_bound is None and r.is_anomaly is False for r in got)

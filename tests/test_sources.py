@@ -72,8 +72,7 @@ def test_registry_csv_fills_missing_columns(spark, tmp_path):
     (tmp_path / "reg.csv").write_text(
         "ordinal,DUID,Region,Fuel Source - Descriptor\n1,U1,SA1,Wind\n2,U1,SA1,Solar\n"
     )
-    header = ["ordinal", "DUID", "Region", "Fuel Source - Descriptor"]
-    rows = landing.registry_csv(spark, str(tmp_path), header)
+    rows = landing.registry_csv(spark, str(tmp_path))
     seed = dims.unit_seed(rows).collect()
     assert [(r.duid, r.fueltech, r.station_name) for r in seed] == [("U1", "solar", "")]
 
@@ -141,3 +140,22 @@ def test_tables_and_exports(spark, tmp_path):
     view = sinks.staging_view(df, "vs_view")
     assert view.count() == 2
     spark.sql("drop database vs_test cascade")
+
+
+HEADER = "REGION,SETTLEMENTDATE,TOTALDEMAND,RRP,PERIODTYPE\n"
+
+
+@pytest.mark.parametrize("text", [
+    HEADER + "SA1,2024/07/01 00:05:00,abc,75,TRADE\n",
+    HEADER.replace("TOTALDEMAND,RRP", "RRP,TOTALDEMAND") + "SA1,2024/07/01 00:05:00,75,8000,TRADE\n",
+])
+def test_bad_numbers_and_swapped_columns_raise(spark, tmp_path, text):
+    (tmp_path / "PRICE_AND_DEMAND_202407_SA1.csv").write_text(text)
+    with pytest.raises(Exception):
+        landing.price_csv(spark, str(tmp_path)).collect()
+
+
+def test_registry_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "reg.csv").write_text("Region,ordinal,DUID\nSA1,4,U9\n")
+    row = landing.registry_csv(spark, str(tmp_path)).first()
+    assert (row["ordinal"], row["DUID"], row["Region"]) == (4, "U9", "SA1")

@@ -80,3 +80,13 @@ def test_daily_refresh_touches_only_new_days(spark, tmp_path):
     kept = {p.name for p in (tmp_path / "daily").glob("settlement_day=2024-01-01/*.parquet")}
     assert kept and kept <= set(before)
     assert dims.last_per_key(got, "settlement_day", "interval_count").count() == 3
+
+
+def test_stream_reads_a_table_of_part_files(spark, sf_dir, tmp_path):
+    from voltspan.plans.catalog import QUERIES
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    (tmp_path / "region.parquet").symlink_to(f"{sf_dir}/region.parquet")
+    one = QUERIES["m2_stream_half_hour_energy"](spark, sf_dir)
+    parts = QUERIES["m2_stream_half_hour_energy"](spark, str(tmp_path))
+    assert one.count() > 0 and sorted(map(tuple, one.collect())) == sorted(map(tuple, parts.collect()))

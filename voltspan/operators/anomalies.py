@@ -34,7 +34,10 @@ def split_at(daily: DataFrame, train_end: str) -> tuple[DataFrame, DataFrame]:
 
 
 def score_prices(daily: DataFrame, train_end: str = TRAIN_END) -> DataFrame:
-    """Scored days after the cutoff, numbers at two digits, flag from the unrounded band."""
+    """Scored days after the cutoff, numbers at two digits, flag from the unrounded band.
+
+    A region without training days keeps its scored days, without a band and never flagged.
+    """
     rows = daily.select(
         "region", "settlement_day", F.col("avg_rrp").alias("y"), *_profile()
     )
@@ -55,7 +58,7 @@ def score_prices(daily: DataFrame, train_end: str = TRAIN_END) -> DataFrame:
         F.stddev_samp("_e").alias("_sd"),
     )
     scored = (
-        score.join(spread.join(overall, "region"), "region")
+        score.join(spread.join(overall, "region"), "region", "left")
         .join(profile.select(*keys, "_mean"), keys, "left")
         .withColumn("_expected", F.coalesce("_mean", "_overall"))
         .withColumns({
@@ -70,7 +73,7 @@ def score_prices(daily: DataFrame, train_end: str = TRAIN_END) -> DataFrame:
         X.settle("_expected", 2).alias("expected_rrp"),
         X.settle("_low", 2).alias("lower_bound"),
         X.settle("_high", 2).alias("upper_bound"),
-        F.expr("y < _low or y > _high").alias("is_anomaly"),
+        F.when(F.col("_q").isNull(), False).otherwise(F.expr("y < _low or y > _high")).alias("is_anomaly"),
         X.settle("(y - _expected) / nullif(_sd, 0d)", 2).alias("distance"),
     )
 

@@ -174,7 +174,10 @@ def selectable(checks: list[Check], tables: dict[str, DataFrame]) -> list[Check]
 
 
 def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, check_name, failures): one row per check, in one query."""
+    """(table_name, check_name, failures): one row per check, in one query.
+
+    Checks whose tables aren't part of the build are left out; ``skipped`` names them.
+    """
     parts = [
         c.failing(tables)
         .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failures"))
@@ -184,6 +187,11 @@ def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def skipped(checks: list[Check], tables: dict[str, DataFrame]) -> list[Check]:
+    """The checks that ``run_checks`` leaves out for want of a table."""
+    return [c for c in checks if not all(n in tables for n in c.needs)]
+
+
 def gate(summary: DataFrame) -> DataFrame:
     """Raise with the names of the failing checks, if any. The summary has a row per check."""
     failed = summary.filter("failures > 0").collect()

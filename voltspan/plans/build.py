@@ -126,6 +126,14 @@ def refresh(
     tables = {t.name: spark.table(f"marts.{t.name}") for t in names if not t.isTemporary}
     for view in ("stg_price_demand", "stg_dispatch_scada"):
         tables[view] = spark.table(view)
+    tables |= {
+        "seed_region": reference.region_seed(spark),
+        "seed_fueltech": reference.fueltech_seed(spark),
+        "seed_duid_fueltech": units,
+    }
+    missing = quality.skipped(quality.standard_checks(), tables)
+    if missing:
+        raise AssertionError("checks without a table: " + ", ".join(f"{c.table}.{c.name}" for c in missing))
     return check_build(spark, tables)
 
 

@@ -61,7 +61,7 @@ def _(t):
 @query("c7_partial_day_guard", sql("""select region, settlement_day, interval_count
     from region_daily where interval_count >= 60""", "region_daily"))
 def _(t):
-    return t.region_daily.filter(F.col("interval_count") >= 60).select(
+    return t.region_totals.filter(F.col("interval_count") >= 60).select(
         "region", "settlement_day", "interval_count"
     )
 
@@ -100,7 +100,7 @@ def _(t):
 @query("c11_parameter_filter", sql("""select settlement_day, avg_rrp from region_daily_named
     where region_name = 'South Australia'""", "region_daily_named"))
 def _(t):
-    t.region_daily_named.createOrReplaceTempView("voltspan_region_daily")
+    t.region_totals_named.createOrReplaceTempView("voltspan_region_daily")
     return t.spark.sql(
         "select settlement_day, avg_rrp from voltspan_region_daily where region_name = :region",
         args={"region": "South Australia"},
@@ -329,7 +329,7 @@ def _(t):
 @query("d23_upper_names", sql("""select region as "REGION", settlement_day as "SETTLEMENT_DAY",
     avg_rrp as "AVG_RRP" from region_daily""", "region_daily"))
 def _(t):
-    df = t.region_daily.select("region", "settlement_day", "avg_rrp")
+    df = t.region_totals.select("region", "settlement_day", "avg_rrp")
     return df.toDF(*[c.upper() for c in df.columns])
 
 

@@ -344,7 +344,7 @@ def _(t):
         nullif(sum(interval_count), 0), 6) as negative_share from region_daily group by 1)
     using (region)""", "energy_daily", "region_daily"))
 def _(t):
-    return reports.transition_ranking(t.energy_daily, t.region_daily)
+    return reports.transition_ranking(t.energy_daily, t.region_totals)
 
 
 @query("l37_price_cap_by_year", sql("""select year, max_rrp, settlement_date, region from (

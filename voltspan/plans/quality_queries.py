@@ -120,7 +120,7 @@ def _(t):
     "region_daily", "fct_price"))
 def _(t):
     """Two builds of one count that differ on days with negative prices."""
-    left = t.region_daily.select("region", "settlement_day", "interval_count")
+    left = t.region_totals.select("region", "settlement_day", "interval_count")
     right = t.fct_price.filter(~F.col("is_negative_price")).groupBy(*marts.REGION_DAY).agg(
         F.count(F.lit(1)).alias("interval_count")
     )

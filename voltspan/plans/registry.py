@@ -51,6 +51,15 @@ class Tables:
     def region_daily(self) -> DataFrame:
         return marts.fct_region_daily(self.fct_price)
 
+    @cached_property
+    def region_totals(self) -> DataFrame:
+        """The daily rollup without the median, as a plain plan, for what doesn't read it."""
+        return marts.region_day_totals(marts.region_day_buckets(self.fct_price))
+
+    @cached_property
+    def region_totals_named(self) -> DataFrame:
+        return self.named(self.region_totals)
+
     @cached_property
     def region_daily_named(self) -> DataFrame:
         return self.named(self.region_daily)

@@ -55,20 +55,20 @@ def _(t):
 @query("l5_price_trend", sql(f"""select region_name, {_M}, round(avg(avg_rrp), 6) as avg_rrp
     from region_daily_named group by 1, 2""", "region_daily_named"))
 def _(t):
-    return q6(reports.price_trend(t.region_daily_named), "avg_rrp")
+    return q6(reports.price_trend(t.region_totals_named), "avg_rrp")
 
 
 @query("l6_demand_trend", sql(f"""select region_name, {_M}, round(avg(avg_demand_mw), 6) as
     avg_demand from region_daily_named group by 1, 2""", "region_daily_named"))
 def _(t):
-    return q6(reports.demand_trend(t.region_daily_named), "avg_demand")
+    return q6(reports.demand_trend(t.region_totals_named), "avg_demand")
 
 
 @query("l7_negative_price", sql(f"""select region_name, {_M}, round(avg(negative_price_pct) /
     100.0::double, 6) as negative_price_pct from region_daily_named group by 1, 2""",
     "region_daily_named"))
 def _(t):
-    return q6(reports.neg_price(t.region_daily_named), "negative_price_pct")
+    return q6(reports.neg_price(t.region_totals_named), "negative_price_pct")
 
 
 @query("l8_renewable_by_region", sql(f"""select region_name, {_M}, {_SHARE} as
@@ -105,7 +105,7 @@ def _(t):
 @query("l13_regions", sql("select distinct region_name from region_daily_named",
                           "region_daily_named"))
 def _(t):
-    return reports.regions(t.region_daily_named)
+    return reports.regions(t.region_totals_named)
 
 
 _HISTORY_NAMED = """(select h.*, g.region_name from history h join dim_region g

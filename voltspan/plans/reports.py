@@ -242,16 +242,18 @@ def transition_ranking(energy: DataFrame, daily: DataFrame) -> DataFrame:
 
 def price_cap_by_year(fact: DataFrame) -> DataFrame:
     """Highest price per year with the first interval and region that reached it."""
-    peak = F.min(
-        F.struct((-F.col("rrp_aud_mwh")).alias("p"), F.col("settlement_date"), F.col("region"))
+    priced = fact.filter(F.col("rrp_aud_mwh").isNotNull()).select(
+        F.year("settlement_day").alias("year"), "rrp_aud_mwh", "settlement_date", "region"
     )
+    # a hash aggregate over the fact first; one row per year joins back, and few rows equal it
+    top = priced.groupBy("year").agg(F.max("rrp_aud_mwh").alias("max_rrp"))
+    at_top = priced.join(F.broadcast(top), "year").filter("rrp_aud_mwh = max_rrp")
     return (
-        fact.filter(F.col("rrp_aud_mwh").isNotNull())
-        .groupBy(F.year("settlement_day").alias("year"))
-        .agg(peak.alias("m"))
+        at_top.groupBy("year", "max_rrp")
+        .agg(F.min(F.struct("settlement_date", "region")).alias("m"))
         .select(
             "year",
-            (-F.col("m.p")).alias("max_rrp"),
+            "max_rrp",
             F.col("m.settlement_date").alias("settlement_date"),
             F.col("m.region").alias("region"),
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import wraps
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +30,21 @@ def _write_by_file(df: DataFrame, fmt: str, name: str, **options) -> str:
     return path
 
 
+def landed(write):
+    """The files of a data folder are written once per session."""
+    paths: dict[tuple[str, str], str] = {}
+
+    @wraps(write)
+    def once(t: Tables) -> str:
+        key = (t.spark.sparkContext.applicationId, t.sf_dir)
+        if key not in paths:
+            paths[key] = write(t)
+        return paths[key]
+
+    return once
+
+
+@landed
 def land_price_files(t: Tables) -> str:
     rows = t.raw_price.select(
         F.col("region").alias("REGION"),
@@ -63,6 +79,7 @@ def record_lines(t: Tables) -> DataFrame:
     )
 
 
+@landed
 def land_record_files(t: Tables) -> str:
     return _write_by_file(record_lines(t), "text", "record-files")
 
@@ -163,8 +180,7 @@ def _(t):
     keep = {"header": "true", "nullValue": "\\N",
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     sheet.write.options(**keep).csv(path)
-    schema = ", ".join(f"`{c}` string" for c in sheet.columns)
-    return landing.with_registry_columns(t.spark.read.schema(schema).options(**keep).csv(path))
+    return landing.registry_csv(t.spark, path, **keep)
 
 
 @query("a11_dim_region", sql("select * from dim_region", "dim_region"))

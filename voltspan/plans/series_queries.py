@@ -34,7 +34,7 @@ def _(t):
 @query("h1_ordered", sql("""select region_name, settlement_day, avg_demand_mw from
     region_daily_named order by settlement_day desc, region_name""", "region_daily_named"))
 def _(t):
-    return t.region_daily_named.select("region_name", "settlement_day", "avg_demand_mw").orderBy(
+    return t.region_totals_named.select("region_name", "settlement_day", "avg_demand_mw").orderBy(
         F.col("settlement_day").desc(), "region_name"
     )
 

@@ -35,9 +35,9 @@ def _(t):
     "having interval_start"), "price_demand"))
 def _(t):
     """Event readings as a stream of unit output; buckets the watermark has closed."""
-    events = incremental.file_stream(
-        t.spark, t.sf_dir, t.table("events").schema, name_filter="events.parquet"
-    )
+    # a pattern, because the table may be one file or a folder of part files
+    path = f"{t.sf_dir}/events.parque[t]"
+    events = incremental.file_stream(t.spark, path, t.table("events").schema)
     price = adapters.price_demand_from(events)
     readings = price.select(
         "settlement_date", F.col("region").alias("duid"),

@@ -14,6 +14,8 @@ from voltspan.functions import scalars as X
 from voltspan.sources import schemas
 
 LINES_PER_BATCH = 50_000
+# header files: the names must be those of the schema, in its order, and every value must parse
+STRICT = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
 
 
 def _file_path():
@@ -28,11 +30,12 @@ def price_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Monthly price and demand files -> canonical rows with month and file provenance.
 
     One scan over all files: Spark packs small files into tasks and splits large ones.
-    A malformed stamp raises, because a silently dropped interval would bias every rollup.
+    A malformed stamp or number raises, and so does a file whose header names other columns or
+    has them in another order: a silently dropped or swapped value would bias every rollup.
     """
     raw = (
         spark.read.schema(schemas.PRICE_FILE)
-        .option("header", True)
+        .options(**STRICT)
         .option("recursiveFileLookup", True)
         .csv(paths)
         .withColumn("source_file", _file_path())
@@ -123,14 +126,14 @@ def scada_zip(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return readings_from_archives(files)
 
 
-def registry_csv(spark: SparkSession, paths: str | list[str], header: list[str]) -> DataFrame:
-    """Unit registry rows in file order. ``header`` names the file's columns, in order,
-    one of them ``ordinal`` (the row number of the sheet); columns the sheet lacks are null."""
-    from pyspark.sql import types as T
+def registry_csv(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
+    """Unit registry rows, columns matched by the names in the file's header.
 
-    schema = T.StructType([T.StructField(h.strip(), T.StringType()) for h in header])
-    rows = spark.read.schema(schema).option("header", True).csv(paths)
-    return with_registry_columns(rows)
+    One column is ``ordinal`` (the row number of the sheet); columns the sheet lacks are null.
+    All files must have the header of the first one.
+    """
+    rows = spark.read.options(**STRICT | options).csv(paths)
+    return with_registry_columns(rows.toDF(*[c.strip() for c in rows.columns]))
 
 
 def with_registry_columns(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voltspan.sources import schemas
+from voltspan.sources.landing import STRICT
 
 # fixed values: region_id, region_name, state, timezone
 REGIONS = [
@@ -53,4 +54,4 @@ def fueltech_seed(spark: SparkSession) -> DataFrame:
 
 def seed_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Header CSV with a declared schema; typed casts happen in the dimension or mart."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**STRICT).csv(path)

@@ -41,13 +41,11 @@ def land_new_records(spark: SparkSession, source: str, target: str, checkpoint:
 
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None,
-    name_filter: str | None = None,
 ) -> DataFrame:
+    """A folder of part files, or any path pattern, as a stream."""
     reader = spark.readStream.schema(schema).format("parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
     return reader.load(folder)
 
 
