@@ -189,3 +189,15 @@ def test_archives_round_trip(spark):
     want = [(p or -1, len((h or "").encode()), sha(h), *x) for (p, _, h), x in zip(rows, [("revisit", 2), ("response", None), ("response", None), ("revisit", 4), ("response", None), ("response", None), ("revisit", 2)])]
     assert got == sorted(want)
     assert archives.round_trip(pages.limit(0)).count() == 0
+
+
+def test_archives_against_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, "http://a", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "http://c", None), (4, "http://d", ""), (5, "http://e", "日本" * 9000), (6, "a b", "<p>x</p>"), (None, "http://f", "only"), (8, "http://g", "WARC/1.1\r\n\r\n")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    with duckdb.connect() as con:
+        con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+        want = con.sql(archives.ORACLE).fetchall()
+    got = [tuple(r) for r in queries.op9_archives(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(got) == 8

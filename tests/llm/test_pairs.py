@@ -139,7 +139,17 @@ def test_passages_are_cut_out_of_all_but_the_first(spark, docs_of):
     assert got[20].kept_text == "" and got[4].removed_chars == 0
 
 
-@pytest.mark.parametrize("text", ["a" * 3000, "word", " " * 900, "日本語" * 500])
+def test_passages_of_one_phrase_are_found(spark, docs_of):
+    rows = []
+    for i, n in enumerate((2, 3, 5, 8, 12)):
+        passage = " ".join(([f"phrase{i}{chr(97 + j)}" for j in range(n)] * 60)[:51])
+        rows += [(2 * i, prose(40 + i) + " " + passage + " " + prose(30)), (2 * i + 1, prose(25) + "\n" + passage + "\n" + prose(50 + i))]
+    got = {r.doc_id: r for r in chunks.dedup_substrings(docs_of(rows)).collect()}
+    assert all(r.repeated_chars >= 100 for r in got.values())
+    assert all(got[i].kept_in == [i - 1] and got[i - 1].removed_chars == 0 for i in range(1, 10, 2))
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, "word", " " * 900, "日本語" * 500, "ab cd " * 2000])
 def test_borders_cover_the_text(text):
     cuts = chunks.borders(chunks.code_points(text))
     assert cuts[0] == 0 and cuts[-1] == len(text) and (np.diff(cuts) > 0).all() and np.diff(cuts).max() <= chunks.MOST

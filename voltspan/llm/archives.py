@@ -227,8 +227,12 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 ORACLE = """
-select page_id, strlen(coalesce(html, '')) as payload_bytes,
-       case when page_id = max(page_id) over (partition by coalesce(html, '')) then 'response' else 'revisit' end as record_type,
-       case when page_id = max(page_id) over (partition by coalesce(html, '')) then null else max(page_id) over (partition by coalesce(html, '')) end as refers_to
-from pages
+with p as (select page_id, coalesce(html, '') as html, max(page_id) over (partition by coalesce(html, '')) as last from pages),
+h as (select *, sha1(html) as hex from p),
+b as (select *, list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + (
+             (cast('0x' || substr(hex, cast(1 + 5 * (i // 4) as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31) as bigint), 1)) as digits from h)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, array_to_string(digits, '') as payload_digest,
+       case when page_id is not distinct from last then 'response' else 'revisit' end as record_type,
+       case when page_id is distinct from last then last end as refers_to
+from b
 """

@@ -43,7 +43,8 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archives.round_trip(read(spark, sf_dir, "pages"))
+    found = archives.round_trip(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,4 +77,5 @@ ORACLES = {
     "op4_decontamination": decontamination.ORACLE,
     "op5_mixing": mixing.ORACLE,
     "op8_chat": chat.ORACLE,
+    "op9_archives": archives.ORACLE,
 }
