@@ -1,21 +1,24 @@
-"""Forecast models that need a recursion over the days of a series.
+"""Forecast models that need a recursion over the days of a series, in columns.
 
-Spark does the spreading: a series is packed once into an array (one value per calendar day,
-so its length is bounded), every (series, origin) pair becomes one row, the rows are hashed
-over the tasks, and an Arrow-batched function fits the row's array. Within a fit all
-parameter candidates advance together as numpy vectors.
+A series is packed into an array with one value per calendar day, so its length is bounded by the
+calendar. Every parameter candidate of a series is a row; the recursion is a fold over the array that
+notes its state on the last day of every origin, so all origins of a series share one pass. The best
+candidate per origin is an aggregate.
 
-Deviation from optimiser-based libraries: parameters come from a fixed grid and initial
-states from the first weeks, so accuracy figures are this module's own.
+Deviations from optimiser-based libraries: parameters come from a fixed grid and initial states from
+the first four weeks, so accuracy figures are this module's own. ``AutoETS`` is additive exponential
+smoothing with a weekly season. ``MSTL`` takes weekly and yearly seasons out in turn, as means by place
+in the season of what a centred moving mean leaves, and smooths the rest without a season.
+
+Defined results: an origin with fewer days than ``MIN_DAYS`` of a model gets no row from it, and neither
+does a series with a null value.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltspan.operators import series as S
@@ -27,11 +30,13 @@ ALPHAS = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 SHARES = (0.05, 0.1, 0.3)  # beta as a share of alpha, gamma as a share of 1 - alpha
 DAMPING = (0.9, 0.98)
 INIT_CYCLES = 4
+# every place of the longest season needs a day whose moving mean is whole
+MIN_DAYS = {"AutoETS": INIT_CYCLES * S.SEASON, "MSTL": 2 * max(SEASONS)}
 # ------------------------------------------------------------------------------
 
 
 @lru_cache(maxsize=4)
-def candidate_grid(seasonal: bool) -> np.ndarray:
+def candidate_grid(seasonal: bool) -> tuple[tuple[float, float, float, float, int], ...]:
     """Rows (alpha, beta, gamma, phi, parameters); phi 0 means no trend, 1 undamped."""
     rows = []
     for a in ALPHAS:
@@ -42,193 +47,184 @@ def candidate_grid(seasonal: bool) -> np.ndarray:
             for s in SHARES:
                 rows.append((a, a * s, gamma, 1.0, k + 2))
                 rows.extend((a, a * s, gamma, phi, k + 3) for phi in DAMPING)
-    return np.array(rows)
+    return tuple(rows)
+
+
+def _with_candidates(jobs: DataFrame, seasonal: bool) -> DataFrame:
+    """``jobs`` once per candidate ``p``, spread by tens so that few series use all tasks evenly."""
+    grid = [
+        F.struct(
+            F.lit(i).alias("cid"),
+            *[F.lit(float(v)).alias(c) for c, v in zip(("alpha", "beta", "gamma", "phi", "k"), row)],
+            F.lit(row[3] * row[1]).alias("to_push"),
+            F.lit(row[0] + row[3] * row[1]).alias("to_known"),
+        )
+        for i, row in enumerate(candidate_grid(seasonal))
+    ]
+    tens = [F.array(*grid[i : i + 10]) for i in range(0, len(grid), 10)]
+    tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = jobs.withColumn("_ten", F.explode(F.sequence(F.lit(0), F.lit(len(tens) - 1))))
+    # a stated number of partitions is kept, so few long series still use every core
+    some = some.repartition(4 * tasks, "unique_id", "stops", "_ten")
+    return some.withColumn("p", F.explode_outer(F.get(F.array(*tens), F.col("_ten")))).drop("_ten")
+
 
+def _mean(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / F.size(values)
 
-def fit_smoothing(y: np.ndarray, season: int, horizon: int):
-    """Best candidate by corrected AIC: (parameters, sigma, point forecasts, standard errors).
 
-    Additive errors, additive trend (optionally damped) and additive season, in
-    error-correction form. ``season`` 1 fits the non-seasonal candidates only.
+def smoothed(jobs: DataFrame, seasonal: bool) -> DataFrame:
+    """(unique_id, cutoff, fit): the best candidate by corrected AIC on the days up to each cutoff.
+
+    ``jobs`` has unique_id, values and stops, an array of (n, cutoff): the first n values count for
+    that cutoff. Additive errors, additive trend (optionally damped) and additive weekly season, in
+    error-correction form; without ``seasonal`` the candidates have no season.
     """
-    n = len(y)
-    cycles = min(INIT_CYCLES, n // season)
-    seasonal = season > 1 and cycles >= 2
-    grid = candidate_grid(seasonal)
-    alpha, beta, gamma, phi, k = grid.T
-    head = season * cycles if seasonal else min(n, INIT_CYCLES * S.SEASON)
-    half = head // 2
-    level0 = y[:head].mean()
-    slope0 = (y[half:head].mean() - y[:half].mean()) / (head - half) if half else 0.0
-    trend = np.where(phi > 0, slope0, 0.0)
-    level = level0 - trend * (head + 1) / 2.0
-    m = season if seasonal else 1
-    offsets = np.zeros((m, len(grid)))
-    if seasonal:
-        shape = y[:head].reshape(cycles, m).mean(axis=0) - level0
-        offsets[:] = np.where(gamma > 0, 1.0, 0.0) * shape[:, None]
-    sse = np.zeros(len(grid))
-    for t in range(n):
-        i = t % m
-        step = phi * trend
-        error = y[t] - (level + step + offsets[i])
-        level = level + step + alpha * error
-        trend = step + beta * error
-        offsets[i] += gamma * error
-        sse += error * error
-    spare = n - k - 1
-    with np.errstate(divide="ignore", invalid="ignore"):
-        aicc = n * np.log(np.maximum(sse / n, 1e-300)) + 2 * k + 2 * k * (k + 1) / spare
-    aicc = np.where(spare > 0, aicc, np.inf)
-    b = int(np.argmin(aicc)) if np.isfinite(aicc).any() else 0
-    sigma = float(np.sqrt(sse[b] / n))
-    steps = np.arange(1, horizon + 1)
-    damp = np.cumsum(phi[b] ** steps) if phi[b] > 0 else np.zeros(horizon)
-    mean = level[b] + damp * trend[b] + offsets[(n + steps - 1) % m, b]
-    # weight of an error i steps back on today's forecast
-    carry = alpha[b] + beta[b] * damp + gamma[b] * (steps % m == 0) * (m > 1)
-    spread = np.concatenate([[0.0], np.cumsum(carry[:-1] ** 2)])
-    return grid[b], sigma, mean, sigma * np.sqrt(1.0 + spread)
-
-
-# ------------------------------------------------------------- seasonal decomposition
-@lru_cache(maxsize=64)
-def _local_weights(n: int, span: int, start: int, stop: int, step: int):
-    """Neighbour positions and weights of a local linear fit at each point of a range."""
-    at = np.arange(start, stop, step, dtype=float)
-    if at[-1] != stop - 1:
-        at = np.append(at, stop - 1.0)
-    width = min(span, n)
-    left = np.clip(np.ceil(at - (width - 1) / 2.0), 0, n - width).astype(int)
-    idx = left[:, None] + np.arange(width)
-    reach = np.maximum(at - left, left + width - 1 - at) + max(span - n, 0) // 2
-    dist = np.abs(idx - at[:, None]) / np.maximum(reach, 1e-9)[:, None]
-    w = np.where(dist < 1, (1 - np.minimum(dist, 1) ** 3) ** 3, 0.0)
-    w /= w.sum(axis=1, keepdims=True)
-    centre = (w * idx).sum(axis=1)
-    off = idx - centre[:, None]
-    var = (w * off * off).sum(axis=1)
-    tilt = np.where(var > 1e-9, (at - centre) / np.maximum(var, 1e-9), 0.0)
-    return at, idx, w * (1 + tilt[:, None] * off)
-
-
-def loess(rows: np.ndarray, span: int, pad: int = 0, jump: int = 1) -> np.ndarray:
-    """Local linear smoothing along the last axis, ``pad`` points beyond either end."""
-    n = rows.shape[-1]
-    at, idx, w = _local_weights(n, span, -pad, n + pad, jump)
-    fit = np.einsum("...ew,ew->...e", rows[..., idx], w)
-    return fit if jump == 1 else np.interp(np.arange(-pad, n + pad), at, fit)
-
-
-def _odd(x: float) -> int:
-    x = int(np.ceil(x))
-    return x if x % 2 else x + 1
-
-
-def _moving_mean(x: np.ndarray, k: int) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(x)])
-    return (total[k:] - total[:-k]) / k
-
-
-def seasonal_part(y: np.ndarray, period: int, span: int, rounds: int = 2) -> np.ndarray:
-    """Seasonal component of one period (Cleveland et al. 1990, without robustness weights)."""
-    n = len(y)
-    trend_span = _odd(1.5 * period / (1 - 1.5 / span))
-    low_span = _odd(period)
-    trend = np.zeros(n)
-    for _ in range(rounds):
-        rest = y - trend
-        cycle = np.empty(n + 2 * period)
-        full, extra = divmod(n, period)
-        for first, last, length in ((0, extra, full + 1), (extra, period, full)):
-            if last > first:
-                at = np.arange(first, last)[:, None] + period * np.arange(length)
-                smooth = loess(rest[at], span, pad=1)
-                cycle[np.arange(first, last)[:, None] + period * np.arange(length + 2)] = smooth
-        low = _moving_mean(_moving_mean(_moving_mean(cycle, period), period), 3)
-        season = cycle[period : period + n] - loess(low, low_span, jump=max(1, low_span // 10))
-        trend = loess(y - season, trend_span, jump=max(1, trend_span // 10))
-    return season
-
-
-def fit_decomposed(y: np.ndarray, horizon: int):
-    """Several seasons removed in turn (Bandara et al. 2021), the remainder smoothed without
-    a season, and each season's last cycle repeated on top."""
-    n = len(y)
-    periods = [p for p in SEASONS if 2 * p < n]
-    seasons = {p: np.zeros(n) for p in periods}
-    rest = y.astype(float).copy()
-    for _ in range(2 if len(periods) > 1 else 1):
-        for i, p in enumerate(periods):
-            rest = rest + seasons[p]
-            seasons[p] = seasonal_part(rest, p, span=11 + 4 * i)
-            rest = rest - seasons[p]
-    grid, sigma, mean, error = fit_smoothing(rest, 1, horizon)
-    for p in periods:
-        mean = mean + seasons[p][n - p + np.arange(horizon) % p]
-    return grid, sigma, mean, error
-
-
-FIT = "alpha double, beta double, gamma double, phi double, sigma double, mean array<double>, error array<double>"
-
-
-def _fit_column(values: Column, model: str, horizon: int) -> Column:
-    @F.pandas_udf(FIT)
-    def fit(arrays: pd.Series) -> pd.DataFrame:
-        out = []
-        for a in arrays:
-            y = np.asarray(a, dtype=float)
-            best, sigma, mean, error = (
-                fit_decomposed(y, horizon) if model == "MSTL"
-                else fit_smoothing(y, S.SEASON, horizon)
-            )
-            out.append((*(float(v) for v in best[:4]), sigma, mean, error))
-        return pd.DataFrame(
-            out, columns=["alpha", "beta", "gamma", "phi", "sigma", "mean", "error"]
+    m, head = S.SEASON, INIT_CYCLES * S.SEASON
+    first = lambda i, n: F.slice("values", i + 1, n)
+    level0 = _mean(first(0, head))
+    slope0 = (_mean(first(head // 2, head // 2)) - _mean(first(0, head // 2))) / (head // 2)
+    at = lambda i: F.get("values", F.lit(i))
+    jobs = jobs.filter(F.size("values") >= head).withColumns({
+        "level0": level0, "slope0": slope0,
+        "shape": F.array(*[reduce(Column.__add__, [at(c * m + i) for c in range(INIT_CYCLES)]) / INIT_CYCLES
+                           for i in range(m)]),
+    })
+    rows = _with_candidates(jobs.withColumn("ends", F.array_sort(F.array_distinct("stops.n"))), seasonal)
+    p = lambda name: F.col("p")[name]
+    slope = F.when(p("phi") > 0, F.col("slope0")).otherwise(0.0)
+    offset = lambda i: F.when(p("gamma") > 0, F.col("shape")[i] - F.col("level0")).otherwise(0.0)
+    places = [f"s{i}" for i in range(m)] if seasonal else []
+    # ``push`` is the damped trend, ``known`` the level after it: the forecast of the day without its season
+    start = F.struct(
+        (F.col("level0") - slope * (head + 1) / 2.0 + p("phi") * slope).alias("known"),
+        (p("phi") * slope).alias("push"),
+        *[offset(i).alias(c) for i, c in enumerate(places)],
+        F.lit(0.0).alias("sse"),
+    )
+    kind = f"struct<n:int,now:struct<{','.join(f'{c}:double' for c in ['known', 'push', *places, 'sse'])}>>"
+
+    def after(x: Column, error: Column) -> Column:
+        """The state once the error of a day is known; the next day's place comes first."""
+        pushed = p("phi") * x["push"]
+        return F.struct(
+            (x["known"] + pushed + p("to_known") * error).alias("known"),
+            (pushed + p("to_push") * error).alias("push"),
+            *[x[n].alias(c) for c, n in zip(places, places[1:])],
+            *([(x["s0"] + p("gamma") * error).alias(places[-1])] if seasonal else []),
+            (x["sse"] + error * error).alias("sse"),
         )
 
-    return fit(values)
+    def day(x: Column, y: Column) -> Column:
+        error = y - x["known"] - x["s0"] if seasonal else y - x["known"]
+        return F.aggregate(F.array(error), x, after)  # an array of one, so that the error is computed once
+
+    def until(seen: Column, end: Column) -> Column:
+        """On from the last noted state to the next origin's last day."""
+        last = F.element_at(seen, -1)
+        days = F.slice("values", last["n"] + 1, end - last["n"])
+        return F.array_append(seen, F.struct(end.alias("n"), F.aggregate(days, last["now"], day).alias("now")))
+
+    zero = F.array(F.struct(F.lit(0).alias("n"), start.alias("now"))).cast(f"array<{kind}>")
+    seen = F.aggregate("ends", zero, until)
+    n, k = F.col("x.n"), F.col("p.k")
+    score = n * F.log(F.greatest(F.col("x.now.sse") / n, F.lit(1e-300))) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
+    return (
+        # an inner explode would add a filter on the array's size, and with it a second fold
+        rows.select("unique_id", "stops", "p", F.explode_outer(seen).alias("x"))
+        .select("unique_id", F.explode(F.filter("stops", lambda s: s["n"] == F.col("x.n"))["cutoff"]).alias("cutoff"), "p", "x", score.alias("score"))
+        .filter((n >= head) & F.col("score").isNotNull() & ~F.isnan("score"))
+        .groupBy("unique_id", "cutoff")
+        # one row per candidate
+        .agg(F.min(F.struct("score", "p.cid", "p", "x")).alias("best"))
+        .select("unique_id", "cutoff", F.struct("best.p.*", "best.x.n", "best.x.now.*", F.sqrt(F.col("best.x.now.sse") / F.col("best.x.n")).alias("sigma")).alias("fit"))
+    )
+
 
+def _damped(steps: Column) -> Column:
+    """phi + phi ** 2 + ... over a number of steps."""
+    phi = F.col("fit.phi")
+    return F.when(phi == 1, steps.cast("double")).otherwise(phi * (1 - F.pow(phi, steps)) / (1 - phi))
 
-def packed(filled: DataFrame) -> DataFrame:
-    """(unique_id, first, values): one calendar-bounded array per series, in day order."""
-    pairs = F.sort_array(F.collect_list(F.struct("ds", "y")))
-    return filled.groupBy("unique_id").agg(
-        F.min("ds").alias("first"), F.transform(pairs, lambda p: p["y"]).alias("values")
+
+def ahead(fits: DataFrame, horizon: int, seasonal: bool) -> DataFrame:
+    """(unique_id, cutoff, n, step, y_hat, error) of the days after each cutoff."""
+    m, h = S.SEASON, F.col("step")
+    # weight of an error i steps back on today's forecast
+    carry = lambda i: F.col("fit.alpha") + F.col("fit.beta") * _damped(i) + F.when(i % m == 0, F.col("fit.gamma")).otherwise(0.0)
+    earlier = F.slice(F.sequence(F.lit(1), F.lit(max(1, horizon))), F.lit(1), h - 1)
+    spread = F.aggregate(earlier, F.lit(1.0), lambda total, i: total + F.pow(carry(i), F.lit(2.0)))
+    place = F.array(*[F.col(f"fit.s{i}") for i in range(m)])[(h - 1) % m] if seasonal else F.lit(0.0)
+    return fits.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).select(
+        "unique_id", "cutoff", F.col("fit.n").alias("n"), "step",
+        (F.col("fit.known") + F.col("fit.push") * _damped(h - 1) + place).alias("y_hat"),
+        (F.col("fit.sigma") * F.sqrt(spread)).alias("error"),
     )
 
 
-def fits(filled: DataFrame, origins: DataFrame, models: list[str], horizon: int) -> DataFrame:
-    """(unique_id, cutoff, model, fit): every model fitted on the history up to each cutoff."""
-    spark = filled.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    length = F.datediff("cutoff", "first") + F.lit(1)
+def _values() -> list[Column]:
+    """First day and values in day order of a gapless series."""
+    pairs = F.sort_array(F.collect_list(F.struct("ds", "y")))
+    return [F.min("ds").alias("first"), F.transform(pairs, lambda p: p["y"]).alias("values")]
+
+
+def without_season(rows: DataFrame, period: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with the season of an odd period taken out of y, season by place ``i``).
+
+    ``rows`` has unique_id, cutoff, t (days since the first), y. The season is the mean by place of
+    y less its centred moving mean, where this is whole, moved so that it adds up to nothing.
+    """
+    keys, half = ["unique_id", "cutoff"], period // 2
+    by_day = Window.partitionBy(*keys).orderBy("t")
+    upto = rows.withColumn("_sum", F.sum("y").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
+    before = F.coalesce(F.lag("_sum", half + 1).over(by_day), F.when(F.col("t") == half, 0.0))
+    rest = upto.withColumn("_rest", F.col("y") - (F.lead("_sum", half).over(by_day) - before) / period)
+    season = rest.groupBy(*keys, (F.col("t") % period).alias("i")).agg(F.avg("_rest").alias("_mean"))
+    season = season.select(*keys, "i", (F.col("_mean") - F.avg("_mean").over(Window.partitionBy(*keys))).alias("s"))
+    plain = rows.withColumn("i", F.col("t") % period).join(season, [*keys, "i"])
+    return plain.select(*keys, "t", "ds", (F.col("y") - F.col("s")).alias("y")), season
+
+
+def smoothing_predictions(filled: DataFrame, origins: DataFrame, horizon: int) -> DataFrame:
+    """``AutoETS``: (unique_id, cutoff, step, y_hat, error)."""
+    stops = origins.groupBy("unique_id").agg(F.collect_set("cutoff").alias("cutoffs"))
     jobs = (
-        packed(filled).join(origins, "unique_id").filter(length >= 1)
-        .select("unique_id", "cutoff", F.slice("values", F.lit(1), length).alias("values"))
-        # a stated number of partitions is kept, so few long fits still use every core
-        .repartition(tasks, "unique_id", "cutoff")
+        filled.groupBy("unique_id").agg(*_values()).join(stops, "unique_id")
+        .select("unique_id", "values", F.transform("cutoffs", lambda c: F.struct(
+            (F.datediff(c, F.col("first")) + 1).alias("n"), c.alias("cutoff"))).alias("stops"))
     )
-    each = F.array(*[
-        F.struct(F.lit(m).alias("model"), _fit_column(F.col("values"), m, horizon).alias("fit"))
-        for m in models
-    ])
-    return jobs.select("unique_id", "cutoff", F.explode(each).alias("m")).select(
-        "unique_id", "cutoff", "m.model", "m.fit"
+    return ahead(smoothed(jobs, True), horizon, True).drop("n")
+
+
+def decomposed_predictions(filled: DataFrame, origins: DataFrame, horizon: int) -> DataFrame:
+    """``MSTL``: (unique_id, cutoff, step, y_hat, error)."""
+    keys = ["unique_id", "cutoff"]
+    whole = Window.partitionBy(*keys)
+    rows = filled.join(origins.distinct(), "unique_id").filter(F.col("ds") <= F.col("cutoff")).select(
+        *keys, F.datediff("ds", F.min("ds").over(whole)).alias("t"), "ds", "y", F.count(F.lit(1)).over(whole).alias("_n")
+    ).filter(F.col("_n") >= MIN_DAYS["MSTL"]).drop("_n")
+    seasons = []
+    for period in SEASONS:
+        rows, season = without_season(rows, period)
+        seasons.append((period, season))
+    jobs = rows.groupBy(*keys).agg(*_values()).select(
+        "unique_id", "values", F.array(F.struct(F.size("values").alias("n"), "cutoff")).alias("stops")
     )
+    out = ahead(smoothed(jobs, False), horizon, False)
+    for period, season in seasons:
+        out = out.withColumn("i", ((F.col("n") + F.col("step") - 1) % period).cast("int")).join(season, [*keys, "i"])
+        out = out.withColumn("y_hat", F.col("y_hat") + F.col("s")).drop("i", "s")
+    return out.drop("n")
 
 
 def fitted_predictions(
     filled: DataFrame, origins: DataFrame, models: list[str], horizon: int = S.HORIZON
 ) -> DataFrame:
     """(unique_id, cutoff, model, ds, y_hat, error)."""
-    both = F.posexplode(F.arrays_zip("fit.mean", "fit.error")).alias("_i", "p")
-    return fits(filled, origins, models, horizon).select(
-        "unique_id", "cutoff", "model", both
-    ).select(
-        "unique_id", "cutoff", "model",
-        F.date_add("cutoff", F.col("_i") + 1).alias("ds"),
-        F.col("p.mean").alias("y_hat"), F.col("p.error").alias("error"),
+    by_model = {"AutoETS": smoothing_predictions, "MSTL": decomposed_predictions}
+    parts = [by_model[m](filled, origins, horizon).withColumn("model", F.lit(m)) for m in models]
+    return reduce(DataFrame.unionByName, parts).select(
+        "unique_id", "cutoff", "model", F.date_add("cutoff", F.col("step")).alias("ds"), "y_hat", "error"
     )
 
 

@@ -243,7 +243,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 # advances one day per step; each origin reads the state reached on its day.
 _GRID = ", ".join(
     f"({i}, {a!r}::double, {b!r}::double, {g!r}::double, {p!r}::double, {int(k)})"
-    for i, (a, b, g, p, k) in enumerate(candidate_grid(True).tolist())
+    for i, (a, b, g, p, k) in enumerate(candidate_grid(True))
 )
 _FIT = "(r.level + r.phi * r.trend + r.s0)"
 CTES.update({
