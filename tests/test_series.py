@@ -139,6 +139,14 @@ def test_smoothing_matches_brute_force(spark, season):
         assert [r.error for r in rows] == sorted(r.error for r in rows)
 
 
+def test_origins_before_a_series_or_too_early_get_no_row(spark):
+    df = frame(spark, {"a": [float(i % 7) for i in range(40)], "b": [1.0] * 20})
+    got = forecast.backtest(df, ["AutoETS", "MSTL"]).collect()
+    # the origins of a are its days 33, 26, 19, 12, 5 and the second before its first
+    assert {(r.unique_id, r.model, r.cutoff) for r in got} == {("a", "AutoETS", D0 + dt.timedelta(32))}
+    assert len(got) == 7 and all(r.y_hat == pytest.approx(r.y, abs=0.5) for r in got)
+
+
 def test_decomposition_recovers_both_seasons(spark):
     t = np.arange(365 * 4)
     y = 300 + 5 * np.sin(2 * np.pi * t / 7) + 20 * np.cos(2 * np.pi * t / 365)

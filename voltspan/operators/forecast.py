@@ -90,7 +90,7 @@ def smoothed(jobs: DataFrame, seasonal: bool) -> DataFrame:
         "shape": F.array(*[reduce(Column.__add__, [at(c * m + i) for c in range(INIT_CYCLES)]) / INIT_CYCLES
                            for i in range(m)]),
     })
-    rows = _with_candidates(jobs.withColumn("ends", F.array_sort(F.array_distinct("stops.n"))), seasonal)
+    rows = _with_candidates(jobs.withColumn("ends", F.array_sort(F.array_distinct(F.filter("stops.n", lambda n: n >= head)))), seasonal)
     p = lambda name: F.col("p")[name]
     slope = F.when(p("phi") > 0, F.col("slope0")).otherwise(0.0)
     offset = lambda i: F.when(p("gamma") > 0, F.col("shape")[i] - F.col("level0")).otherwise(0.0)
@@ -132,8 +132,9 @@ def smoothed(jobs: DataFrame, seasonal: bool) -> DataFrame:
     return (
         # an inner explode would add a filter on the array's size, and with it a second fold
         rows.select("unique_id", "stops", "p", F.explode_outer(seen).alias("x"))
+        .filter(n >= head)
         .select("unique_id", F.explode(F.filter("stops", lambda s: s["n"] == F.col("x.n"))["cutoff"]).alias("cutoff"), "p", "x", score.alias("score"))
-        .filter((n >= head) & F.col("score").isNotNull() & ~F.isnan("score"))
+        .filter(F.col("score").isNotNull() & ~F.isnan("score"))
         .groupBy("unique_id", "cutoff")
         # one row per candidate
         .agg(F.min(F.struct("score", "p.cid", "p", "x")).alias("best"))
