@@ -1,7 +1,8 @@
 """Data-quality checks. Each returns the failing keys with the number of failing rows.
 
-Every check first reduces the table by key with map-side combining, so neither a hot key nor
-a join against a parent ever moves the table's rows.
+Every check reduces the table by key with map-side combining, so a hot key is one row per task and a
+join against a parent moves distinct keys. A check of a key that hardly repeats still shuffles every
+key, though no other column. A summary reads a table once for all its checks of single rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _not_in(col: str, values: list) -> Column:
+    return F.col(col).isNotNull() & ~F.col(col).isin(values)
+
+
+def _outside(col: str, low: float, high: float) -> Column:
+    return (F.col(col) < low) | (F.col(col) > high)
+
+
 def not_null(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNull()).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 0")
 
@@ -30,7 +39,7 @@ def unique(df: DataFrame, col: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
     """Values outside the list; null passes."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n_rows")).filter(~F.col(col).isin(values))
+    return df.filter(_not_in(col, values)).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -51,7 +60,7 @@ def unique_combination(df: DataFrame, cols: list[str]) -> DataFrame:
 def accepted_range(df: DataFrame, col: str, low: float, high: float) -> DataFrame:
     """Values below ``low`` or above ``high``, bounds allowed; null passes."""
     return (
-        df.filter((F.col(col) < low) | (F.col(col) > high))
+        df.filter(_outside(col, low, high))
         .groupBy(col)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -67,6 +76,15 @@ class Check:
     spec: tuple  # kind of check and its arguments
     failing: Callable[[dict[str, DataFrame]], DataFrame]
 
+    def row_fails(self) -> Column | None:
+        """When a row fails, for checks that look at one row; None for those of keys."""
+        kind, *args = self.spec
+        if kind == "not_null":
+            return F.col(args[0]).isNull()
+        if kind == "values":
+            return _not_in(*args)
+        return _outside(*args) if kind == "range" else None
+
 
 def _check(table: str, name: str, spec: tuple, fn, *more: str) -> Check:
     return Check(table, name, (table, *more), spec, fn)
@@ -176,14 +194,28 @@ def selectable(checks: list[Check], tables: dict[str, DataFrame]) -> list[Check]
 def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, check_name, failures): one row per check, in one query.
 
-    Checks whose tables aren't part of the build are left out; ``skipped`` names them.
+    All checks of single rows of a table are counted in one scan of it. Checks whose tables aren't
+    part of the build are left out; ``skipped`` names them.
     """
-    parts = [
-        c.failing(tables)
-        .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failures"))
-        .select(F.lit(c.table).alias("table_name"), F.lit(c.name).alias("check_name"), "failures")
-        for c in selectable(checks, tables)
-    ]
+    rows: dict[str, list[tuple[str, Column]]] = {}
+    parts = []
+    for c in selectable(checks, tables):
+        fails = c.row_fails()
+        if fails is not None:
+            rows.setdefault(c.table, []).append((c.name, F.count_if(fails)))
+            continue
+        parts.append(
+            c.failing(tables)
+            .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failures"))
+            .select(F.lit(c.table).alias("table_name"), F.lit(c.name).alias("check_name"), "failures")
+        )
+    for table, counts in rows.items():
+        results = [
+            F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("check_name"), F.col(name).alias("failures"))
+            for name, _ in counts
+        ]
+        once = tables[table].agg(*[n.alias(name) for name, n in counts])
+        parts.append(once.select(F.inline(F.array(*results))))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -193,12 +225,16 @@ def skipped(checks: list[Check], tables: dict[str, DataFrame]) -> list[Check]:
 
 
 def gate(summary: DataFrame) -> DataFrame:
-    """Raise with the names of the failing checks, if any. The summary has a row per check."""
-    failed = summary.filter("failures > 0").collect()
+    """Raise with the names of the failing checks, if any; else the summary as it was found.
+
+    The summary has a row per check, and the checks run once.
+    """
+    found = summary.collect()
+    failed = [r for r in found if r.failures]
     if failed:
         names = ", ".join(f"{r.table_name}.{r.check_name}={r.failures}" for r in failed)
         raise AssertionError(f"data checks failed: {names}")
-    return summary
+    return summary.sparkSession.createDataFrame(found, summary.schema)
 
 
 def mart_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voltspan.operators import marts, quality
 from voltspan.plans.oracle import IN_REGIONS, sql
 from voltspan.plans.registry import query
+from voltspan.sources import reference
 
 
 @query("k1_not_null", sql("""select count(*) as n_rows from scada where scada_mw is null
@@ -49,59 +50,97 @@ def _(t):
 
 
 def built_tables(t):
-    """Every table the standard checks read that this data can fill."""
+    """Every table the standard checks read."""
     return {
+        "seed_region": reference.region_seed(t.spark),
+        "seed_fueltech": reference.fueltech_seed(t.spark),
         "seed_duid_fueltech": t.unit_seed,
         "stg_price_demand": t.stg_price, "stg_dispatch_scada": t.stg_scada,
         "dim_region": t.dim_region, "dim_fueltech": t.dim_fueltech, "dim_duid": t.dim_duid,
         "fct_price_demand": t.fct_price, "fct_region_daily": t.region_daily_stored,
+        "fct_generation": t.generation_half_hour_stored,
         "fct_generation_daily": t.generation_stored,
         "fct_region_energy_daily": t.energy_stored,
         "fct_demand_forecast": t.forecast_mart, "fct_forecast_accuracy": t.accuracy,
-        "fct_price_anomalies": t.price_anomalies,
+        "fct_engine_benchmark": t.benchmark, "fct_price_anomalies": t.price_anomalies,
     }
 
 
+# The 68 checks once more, written out apart from the operator's list: table, the SQL of its rows, and
+# per line a kind with columns. "values" and "range" give the condition of a good value.
+SUMMARY = {
+    ("seed_region", "dim_region"): ["not_null region_id", "unique region_id"],
+    ("seed_fueltech", "fuel_seed"): ["not_null fueltech", "unique fueltech"],
+    ("seed_duid_fueltech", "unit_seed"): ["not_null duid", "unique duid"],
+    ("stg_price_demand", "stg_price"): [
+        "not_null region settlement_date rrp_aud_mwh total_demand_mw",
+        f"values region: in {IN_REGIONS}", "values resolution_min: in (5, 30)",
+        "combination region settlement_date"],
+    ("stg_dispatch_scada", "stg_scada"): ["not_null duid settlement_date"],
+    ("dim_region", "dim_region"): ["not_null region_id", "unique region_id"],
+    ("dim_fueltech", "dim_fueltech"): ["not_null fueltech is_renewable", "unique fueltech"],
+    ("dim_duid", "dim_duid"): [
+        "not_null duid region fueltech", "unique duid",
+        "relationship region dim_region region_id", "relationship fueltech dim_fueltech fueltech"],
+    ("fct_price_demand", "fct_price"): [
+        "not_null price_demand_id region settlement_date rrp_aud_mwh", "unique price_demand_id",
+        "relationship region dim_region region_id", "range rrp_aud_mwh: between -1000 and 40000"],
+    ("fct_region_daily", "region_daily"): [
+        "not_null region settlement_day", "relationship region dim_region region_id",
+        "combination region settlement_day"],
+    ("fct_generation", "generation"): [
+        "not_null region fueltech interval_start", "relationship region dim_region region_id",
+        "relationship fueltech dim_fueltech fueltech", "combination region fueltech interval_start"],
+    ("fct_generation_daily", "generation_daily"): ["combination region fueltech settlement_day"],
+    ("fct_region_energy_daily", "energy_daily"): [
+        "not_null region", "relationship region dim_region region_id",
+        "range renewable_share_pct: between 0 and 100", "combination region settlement_day"],
+    ("fct_demand_forecast", "fc_mart"): [
+        "not_null region forecast_date predicted_demand_mw",
+        "relationship region dim_region region_id",
+        "values model: in ('SeasonalNaive', 'AutoETS', 'MSTL')",
+        "combination region model forecast_date"],
+    ("fct_engine_benchmark", "bench_scores"): [
+        "not_null region", "relationship region dim_region region_id",
+        "values engine: in ('Snowflake ML', 'Python')", "range mape: between 0 and 100",
+        "combination region model"],
+    ("fct_price_anomalies", "anomalies_mart"): [
+        "not_null region settlement_day is_anomaly", "relationship region dim_region region_id",
+        "combination region settlement_day"],
+    ("fct_forecast_accuracy", "accuracy"): [
+        "not_null region", "relationship region dim_region region_id",
+        "range mape: between 0 and 100", "combination region model"],
+}
+
+
+def _counted(source: str, line: str) -> list[tuple[str, str]]:
+    """(check name, SQL for its number of failing rows) of one line of the summary."""
+    kind, rest = line.split(" ", 1)
+    repeats = "select coalesce(sum(n), 0) from (select count(*) as n from {} group by {} having count(*) > 1)"
+    if kind == "not_null":
+        return [(f"not_null_{c}", f"select count(*) from {source} where {c} is null") for c in rest.split()]
+    if kind == "unique":
+        known = f"(select * from {source} where {rest} is not null)"
+        return [(f"unique_{rest}", repeats.format(known, rest))]
+    if kind == "combination":
+        cols = rest.split()
+        return [("unique_" + "_".join(cols), repeats.format(source, ", ".join(cols)))]
+    if kind == "relationship":
+        col, parent, key = rest.split()
+        return [(f"relationships_{col}_{parent}", f"select count(*) from {source} where {col} is not null "
+                 f"and {col} not in (select {key} from {parent})")]
+    col, good = rest.split(": ")
+    return [(f"accepted_{kind}_{col}", f"select count(*) from {source} where not ({col} {good})")]
+
+
 def _summary_sql() -> str:
-    """One row per check, counted by SQL of the matching generic test."""
-    from voltspan.plans.oracle import CTES
-
-    source = {
-        "seed_duid_fueltech": "unit_seed", "stg_price_demand": "stg_price",
-        "stg_dispatch_scada": "stg_scada", "dim_region": "dim_region",
-        "dim_fueltech": "dim_fueltech", "dim_duid": "dim_duid", "fct_price_demand": "fct_price",
-        "fct_region_daily": "region_daily", "fct_generation_daily": "generation_daily",
-        "fct_region_energy_daily": "energy_daily", "fct_demand_forecast": "fc_mart",
-        "fct_forecast_accuracy": "accuracy", "fct_price_anomalies": "anomalies_mart",
-    }
-    assert set(source.values()) <= set(CTES)
-    parts = []
-    for c in quality.standard_checks():
-        if not all(n in source for n in c.needs):
-            continue
-        spec, table = c.spec, source[c.table]
-        kind, args = spec[0], spec[1:]
-        if kind == "not_null":
-            count = f"select count(*) from {table} where {args[0]} is null"
-        elif kind == "unique":
-            count = (f"select coalesce(sum(n), 0) from (select count(*) as n from {table} "
-                     f"where {args[0]} is not null group by {args[0]} having count(*) > 1)")
-        elif kind == "combination":
-            cols = ", ".join(args)
-            count = (f"select coalesce(sum(n), 0) from (select count(*) as n from {table} "
-                     f"group by {cols} having count(*) > 1)")
-        elif kind == "values":
-            allowed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in args[1])
-            count = f"select count(*) from {table} where {args[0]} not in ({allowed})"
-        elif kind == "range":
-            count = (f"select count(*) from {table} where {args[0]} < {args[1]} "
-                     f"or {args[0]} > {args[2]}")
-        else:
-            count = (f"select count(*) from {table} where {args[0]} is not null and {args[0]} "
-                     f"not in (select {args[2]} from {source[args[1]]})")
-        parts.append(f"select '{c.table}' as table_name, '{c.name}' as check_name, "
-                     f"cast(({count}) as bigint) as failures")
-    return sql("\nunion all ".join(parts), *source.values())
+    parts = [
+        f"select '{table}' as table_name, '{name}' as check_name, cast(({count}) as bigint) as failures"
+        for (table, source), lines in SUMMARY.items()
+        for line in lines
+        for name, count in _counted(source, line)
+    ]
+    return sql("\nunion all ".join(parts), *[source for _, source in SUMMARY])
 
 
 @query("k7_check_summary", _summary_sql())

@@ -108,6 +108,10 @@ class Tables:
     def generation(self) -> DataFrame:
         return marts.fct_generation(self.stg_scada, self.dim_duid, self.few_units or None)
 
+    @cached_property
+    def generation_half_hour_stored(self) -> DataFrame:
+        return stage(self.generation, "generation-half-hour")
+
     @cached_property
     def generation_daily(self) -> DataFrame:
         return marts.generation_daily_from_readings(
