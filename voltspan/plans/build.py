@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,11 +94,18 @@ def build_benchmark(
     models: list[str] = forecast.MODELS,
     min_intervals: int = series.MIN_INTERVALS,
 ) -> None:
-    """All models, and any outside prediction set, on one train and holdout split."""
+    """All models, and any outside prediction set, on one train and holdout split.
+
+    Holdout days without an outside prediction aren't scored; a warning tells how many.
+    """
     observed = series.daily_series(spark.table("marts.fct_region_daily"), min_intervals)
     train, holdout = series.holdout_split(observed)
     sets = forecast.benchmark_predictions(train, models)
     if external is not None:
+        found = external.withColumnRenamed("region", "unique_id")
+        match = series.match_completeness(holdout, found, ["unique_id", "ds"]).first()
+        if match["unmatched"]:
+            warnings.warn(f"outside predictions match {match['matched']} of {match['expected']} holdout days")
         sets = sets.unionByName(external)
     scores = series.engine_benchmark(holdout, sets)
     sinks.replace_table(marts.fct_engine_benchmark(scores), "marts.fct_engine_benchmark")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from voltspan.functions import scalars as X
@@ -321,9 +323,14 @@ def _(t):
     )
 
 
-@query("d22_generated_at")
+@query("d22_generated_at", sql("""select region, forecast_date, true as stamped_in_run
+    from naive_fc""", "naive_fc"))
 def _(t):
-    return t.naive_forecast.select("region", "forecast_date", "generated_at")
+    """The stamp of a run lies after the query was made, on the UTC clock."""
+    made = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    stamp = F.col("generated_at")
+    in_run = (stamp >= F.lit(made)) & (stamp < F.lit(made + dt.timedelta(hours=6)))
+    return t.naive_forecast.select("region", "forecast_date", in_run.alias("stamped_in_run"))
 
 
 @query("d23_upper_names", sql("""select region as "REGION", settlement_day as "SETTLEMENT_DAY",

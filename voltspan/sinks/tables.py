@@ -104,10 +104,3 @@ UNIT_COLUMNS = [
     "duid", "station_name", "region", "dispatch_type", "fuel_source", "technology", "fueltech",
     "reg_cap_mw",
 ]
-ANOMALY_COLUMNS = [
-    "region", "settlement_day", "avg_rrp", "expected_rrp", "lower_bound", "upper_bound",
-    "is_anomaly", "distance",
-]
-BENCHMARK_COLUMNS = [
-    "region", "engine", "model", "mae", "rmse", "mape", "holdout_start", "holdout_end",
-]

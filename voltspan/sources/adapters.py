@@ -149,16 +149,3 @@ def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("l_quantity").alias("avg_demand_mw"),
         )
     )
-
-
-def external_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of another engine as it returns them: quoted series name, stamped day.
-
-    Here: the demand of the day before, from the same daily table.
-    """
-    daily = daily_history(spark, sf_dir)
-    return daily.select(
-        F.concat(F.lit('"'), F.col("region"), F.lit('"')).alias("series"),
-        F.date_add("settlement_day", 1).cast("timestamp_ntz").alias("ts"),
-        F.col("avg_demand_mw").alias("forecast"),
-    )

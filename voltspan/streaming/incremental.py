@@ -63,7 +63,7 @@ def half_hour_energy(scada: DataFrame, units: DataFrame, lateness: str) -> DataF
     )
     return (
         readings.withWatermark("ts", lateness)
-        .join(units.select("duid", "region", "fueltech"), "duid")
+        .join(maybe_broadcast(units.select("duid", "region", "fueltech")), "duid")
         .groupBy("region", "fueltech", F.window("ts", "30 minutes"))
         .agg(F.sum("mw").alias("mw"))
         .select(
