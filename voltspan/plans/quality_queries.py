@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voltspan.operators import marts, quality
 from voltspan.plans.oracle import IN_REGIONS, sql
 from voltspan.plans.registry import query
+from voltspan.session import stage
 from voltspan.sources import reference
 
 
@@ -50,7 +51,7 @@ def _(t):
 
 
 def built_tables(t):
-    """Every table the standard checks read."""
+    """Every table the standard checks read; model results are stored first, as in the batch build."""
     return {
         "seed_region": reference.region_seed(t.spark),
         "seed_fueltech": reference.fueltech_seed(t.spark),
@@ -61,8 +62,10 @@ def built_tables(t):
         "fct_generation": t.generation_half_hour_stored,
         "fct_generation_daily": t.generation_stored,
         "fct_region_energy_daily": t.energy_stored,
-        "fct_demand_forecast": t.forecast_mart, "fct_forecast_accuracy": t.accuracy,
-        "fct_engine_benchmark": t.benchmark, "fct_price_anomalies": t.price_anomalies,
+        "fct_demand_forecast": stage(t.forecast_mart, "forecast"),
+        "fct_forecast_accuracy": stage(t.accuracy, "accuracy"),
+        "fct_engine_benchmark": stage(t.benchmark, "benchmark"),
+        "fct_price_anomalies": stage(t.price_anomalies, "anomalies"),
     }
 
 
