@@ -153,3 +153,20 @@ def test_passages_of_one_phrase_are_found(spark, docs_of):
 def test_borders_cover_the_text(text):
     cuts = chunks.borders(chunks.code_points(text))
     assert cuts[0] == 0 and cuts[-1] == len(text) and (np.diff(cuts) > 0).all() and np.diff(cuts).max() <= chunks.MOST
+
+
+def unspaced(n, rng):
+    return "".join(chr(rng.randint(0x4E00, 0x57FF)) for _ in range(n))
+
+
+def test_passages_are_found_however_words_are_parted(spark, docs_of):
+    rng = random.Random(17)
+    signs = ["\t", "\r", "\u00a0", "\u2003", "\u3000"]
+    cases = [(sign.join(prose(51, rng).split()), lambda sign=sign: sign.join(prose(90, rng).split())) for sign in signs]
+    cases += [(" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(3)) for _ in range(51)), lambda: prose(90, rng))]
+    cases += [(unspaced(300, rng), lambda: unspaced(400, rng)) for _ in range(5)]
+    cases += [((unspaced(7, rng) * 50)[:300], lambda: unspaced(400, rng))]
+    rows = [(2 * i + j, around() + passage + around()) for i, (passage, around) in enumerate(cases) for j in (0, 1)]
+    got = {r.doc_id: r for r in chunks.dedup_substrings(docs_of(rows)).collect()}
+    assert [i for i, r in got.items() if r.repeated_chars < 100] == []
+    assert all(got[i].kept_in == [i - 1] and got[i - 1].removed_chars == 0 for i in range(1, len(rows), 2))

@@ -1,9 +1,11 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the code points of a text; where it meets a mask at the end of a word a chunk may
-end, so insertions move the borders of the chunks around them only. Where ``QUIET`` code points hold no
-such place, as in a phrase said over and over, the smallest hash at the end of a word among the last
-``QUIET`` code points ends one. Chunks are told apart by 128-bit digests. A passage is a run of neighbouring chunks that other documents hold too, ``PASSAGE`` code points
+end, so insertions move the borders of the chunks around them only. Any white space of Unicode ends a
+word; in text without any, as in Chinese or Thai, a chunk may end at every code point. Where ``QUIET``
+code points hold no such place, as in a phrase said over and over, the smallest hash at the end of a word
+among the last ``QUIET`` code points ends one, or that at any of them if no word ends there. Chunks are
+told apart by 128-bit digests. A passage is a run of neighbouring chunks that other documents hold too, ``PASSAGE`` code points
 long at least; it stays in the document with the smallest doc_id and is cut out of the others.
 
 Defined results: null text is empty; shorter runs, such as a common line, stay everywhere; what a
@@ -30,7 +32,10 @@ from voltspan.llm.common import SLICE_ROWS, Powers, append_columns, free_name, r
 WINDOW = 16  # code points that the rolling hash sees: four bits of shift each
 LEAST, MOST = 16, 400
 QUIET = 96
+FAR = 12  # code points without white space after which a chunk may end at any of them
 PASSAGE = 100
+# what Unicode calls white space parts words
+_SPACES = np.array([chr(c).isspace() for c in range(0x3002)])
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _BASES = [(Powers(b), Powers(pow(b, -1, 2**64))) for b in (_B1, _B2)]
 
@@ -45,22 +50,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _quiet_ends(rolled: np.ndarray, space: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Ends of words in long gaps between ``ends`` whose hash no other of the last ``QUIET`` places undercuts."""
+    """Places in long gaps between ``ends`` whose hash no other of the last ``QUIET`` places undercuts, ends of words first."""
     edges = np.concatenate([[0], ends, [len(rolled)]])
     out = [ends]
     for gap in np.flatnonzero(np.diff(edges) > QUIET).tolist():
         start, stop = edges[gap], edges[gap + 1]
-        hashes = np.where(space[start:stop], rolled[start:stop], np.uint64(2**64 - 1))
+        # any end of a word undercuts all other places
+        hashes = rolled[start:stop] >> np.uint64(1) | (~space[start:stop]).astype(np.uint64) << np.uint64(63)
         least, width = hashes, 1
         while width < QUIET:
             step = min(width, QUIET - width)
             least, width = np.minimum(least[:-step], least[step:]), width + step
         at = np.arange(QUIET - 1, stop - start)
-        at = at[(hashes[at] == least) & space[start:stop][at]]
-        out.append(start + at + 1)
+        out.append(start + at[hashes[at] == least] + 1)
     return np.sort(np.concatenate(out))
 
 
+def _near_space(space: np.ndarray) -> np.ndarray:
+    """Places with white space among the last ``FAR``."""
+    upto = np.cumsum(space, dtype=np.int32)
+    upto[FAR:] -= upto[:-FAR].copy()
+    return upto > 0
+
+
 def borders(points: np.ndarray) -> np.ndarray:
     """Where chunks begin and end: 0, ..., the length of the text."""
     n = len(points)
@@ -71,8 +83,9 @@ def borders(points: np.ndarray) -> np.ndarray:
     for i in range(1, min(WINDOW, n)):
         rolled[i:] += gear[:-i] << np.uint64(4 * i)
     rolled = _mix(rolled)
-    space = (points == 32) | (points == 10)
-    ends = np.flatnonzero(space & (rolled % np.uint64(4) == 0) | (rolled % np.uint64(256) == 1)) + 1
+    space = _SPACES[np.minimum(points, np.uint64(len(_SPACES) - 1)).astype(np.int64)]
+    inner = (rolled % np.uint64(256) == 1) | (rolled % np.uint64(16) == 1) & ~_near_space(space)
+    ends = np.flatnonzero(space & (rolled % np.uint64(4) == 0) | inner) + 1
     out, last = [0], 0
     for end in _quiet_ends(rolled, space, ends).tolist():
         while end - last > MOST:
