@@ -54,6 +54,33 @@ def test_extraction_scores_unmarked_containers(spark):
     assert (got[2].text, got[2].n_chars) == ("", 0)
 
 
+PROSE = "".join(f"<p>Sentence number {i}, with commas, and enough words to count.</p>" for i in range(6))
+LINKS = "<div class='nav'><a href=1>one</a> <a href=2>two</a></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form id=aspnetForm>{LINKS}<label>Find</label><input><div id=content>{PROSE}</div><div class=sidebar><p>aside</p></div></form></body>",
+        f"<body><form id=aspnetForm><div class=sidebar>{'<p>A side matter of some length, told twice.</p>' * 15}</div><div>{PROSE}</div></form></body>",
+        f"<body>{LINKS}<div class='layout sidebar-right'><div>{PROSE}</div><div class=sidebar><p>aside</p></div></div></body>",
+        f"<body><div id='page' class='left-sidebar'>{LINKS}{PROSE}</div><div><p>Imprint</p></div></body>",
+        f"<body><div class='content-related'>{PROSE}<div id=comments>{'<p>Nice, very, nice, indeed, says a reader.</p>' * 20}</div></div></body>",
+        f"<body><main class='sidebar-right'>{PROSE}</main></body>",
+        f"<body><main class='sidebar-right'><article>{PROSE}</article><div class=sidebar><p>aside</p></div></main></body>",
+        f"<body><main></main><form>{PROSE}</form><aside><article><p>Promoted</p></article></aside></body>",
+    ],
+)
+def test_extraction_keeps_forms_and_wrappers_of_the_page(page):
+    assert extraction.main_text(page).split("\n") == [f"Sentence number {i}, with commas, and enough words to count." for i in range(6)]
+
+
+@pytest.mark.parametrize("name", ["id=comments", "class=cookie-notice", "class=sidebar", "role=complementary"])
+def test_extraction_drops_marked_parts_longer_than_the_main_text(name):
+    page = f"<body><div>{PROSE}</div><div {name}>{'<p>Nice, very, nice, indeed, says a reader.</p>' * 20}</div></body>"
+    assert extraction.main_text(page).count("\n") == 5 and "Nice" not in extraction.main_text(page)
+
+
 def brute_winnow(text, k, w):
     points = [ord(c) for c in text]
     hashes = winnowing.gram_hashes(winnowing.np.array(points, winnowing.np.uint32), k).tolist()

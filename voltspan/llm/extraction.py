@@ -4,7 +4,8 @@ A page becomes a tree. Paragraphs pass points for their length and commas to the
 farther away; a container's points are discounted by the share of its text that stands in links. The
 best container, its article element if it has one, and siblings that look like it are kept. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are taken out
-before, by element, role and the words of class and id.
+before, by element, role and the words of class and id. A form or wrapper stays, whatever it is called, if
+it holds all the page's articles or, on a page without any, most of the prose; marked parts in it go.
 
 The text: character references decoded, white space inside a block turned into one space, blocks in
 page order joined by line ends. Nothing is capped.
@@ -63,6 +64,11 @@ DROPPED_WORDS = frozenset(
     "subscription signup signin login comment comments commentlist disqus respond replies reply discussion share sharing "
     "social related recommended recommendations widget widgets pagination pager skip hidden copyright paywall".split()
 )
+# parts with prose of their own, which may be longer than the main text
+OWN_PROSE = frozenset(
+    "comment comments commentlist disqus respond replies reply discussion cookie cookies consent gdpr notice notices "
+    "alert alerts notification popup modal overlay newsletter subscribe subscription copyright".split()
+)
 ARTICLE_WORDS = frozenset("article articlebody post entry story hentry".split())
 NOT_OWN = frozenset("with has no without is not".split())
 
@@ -77,13 +83,14 @@ _COMMA = re.compile("[,،、，﹐]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "attributes", "dropped", "inside", "bodies", "chars", "linked", "points")
+    __slots__ = ("tag", "parent", "parts", "attributes", "dropped", "inside", "bodies", "marked", "prose", "clear", "chars", "linked", "points")
 
     def __init__(self, tag: str, parent: "Node | None", attributes: dict[str, str]):
         self.tag, self.parent, self.attributes = tag, parent, attributes
         self.parts: list[Node | str] = []
         self.inside = bool(parent) and (parent.inside or parent.tag in ("article", "main"))
         self.dropped, self.bodies, self.chars, self.linked, self.points = False, 0, 0, 0, 0.0
+        self.marked, self.prose, self.clear = False, 0, 0
 
     def up(self):
         node = self.parent
@@ -163,32 +170,63 @@ def _words(node: Node) -> set[str]:
     return out
 
 
+def _unseen(node: Node) -> bool:
+    """Elements that are never main text, whatever they hold."""
+    a = node.attributes
+    return (
+        node.tag in DROPPED
+        or node.tag in RAW
+        or "hidden" in a
+        or a.get("aria-hidden") == "true"
+        or bool(re.search(r"display:none|visibility:hidden", a.get("style", "").replace(" ", "").lower()))
+    )
+
+
+def _marked(node: Node, words: set[str]) -> bool:
+    if node.attributes.get("role") in DROPPED_ROLES or words & DROPPED_WORDS:
+        return True
+    heading = node.tag in HEADINGS or words & ARTICLE_WORDS
+    header = node.tag == "header" or node.tag not in ("article", "main") and "header" in words
+    return node.tag == "form" or header and not node.inside and not heading
+
+
+def _measure(nodes: list[Node]) -> None:
+    """Notes how much unlinked text but headings elements hold: ``prose``, and outside marked parts ``clear``."""
+    for node in reversed(nodes):
+        if node.dropped:
+            continue
+        own = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        node.prose, node.clear = node.prose + own, node.clear + own
+        if node.parent and node.tag != "a" and node.tag not in HEADINGS:
+            node.parent.prose += node.prose
+            node.parent.clear += 0 if node.marked else node.clear
+
+
 def _drop(nodes: list[Node]) -> None:
     """Marks what isn't main text, with all it holds."""
-    bodies = [n for n in nodes if n.tag in ("article", "main") and not _words(n) & DROPPED_WORDS]
+    for node in nodes:
+        node.dropped = bool(node.parent and node.parent.dropped) or _unseen(node)
+        node.marked = not node.dropped and _marked(node, _words(node))
+    _measure(nodes)
+    bodies = [n for n in nodes if n.tag in ("article", "main") and n.prose and not n.dropped and not _words(n) & DROPPED_WORDS]
     for body in bodies:
         body.parent.bodies += 1
     for node in reversed(nodes[1:]):
         node.parent.bodies += node.bodies
+    total, plain = nodes[0].prose, nodes[0].clear
     for node in nodes:
-        a = node.attributes
-        if node.parent and node.parent.dropped or node.tag in DROPPED or node.tag in RAW:
+        if node.parent and node.parent.dropped:
             node.dropped = True
-        elif "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display:none|visibility:hidden", a.get("style", "").replace(" ", "").lower()):
-            node.dropped = True
-        elif node.tag not in ("html", "article", "main") or a.get("role") in DROPPED_ROLES:
-            words = _words(node)
-            heading = node.tag in HEADINGS or words & ARTICLE_WORDS
-            marked = (
-                a.get("role") in DROPPED_ROLES
-                or node.tag == "form"
-                or bool(words & DROPPED_WORDS)
-                or (node.tag == "header" or "header" in words) and not node.inside and not heading
-            )
+        elif not node.dropped and bodies:
             # a wrapper of all the page's articles is no such part, whatever it is called
-            node.dropped = marked and not (bodies and node.bodies == len(bodies))
-        elif _words(node) & DROPPED_WORDS:
-            node.dropped = True
+            node.dropped = node.marked and node.bodies != len(bodies)
+        elif not node.dropped and node.marked:
+            # nor, on a page without articles, is a form or wrapper of most of its prose where little stands outside
+            rest = 0 if _words(node) & OWN_PROSE else node.prose if node.tag == "form" else node.prose // 4
+            node.dropped = 2 * node.prose <= total or plain > rest
+            plain += 0 if node.dropped else node.clear
+        elif node.tag == "label":
+            node.dropped = any(u.tag == "form" for u in node.up())  # of a control
 
 
 def _walk(node: Node):
@@ -245,7 +283,7 @@ def _score(root: Node, nodes: list[Node]) -> None:
             continue
         points = 1 + len(_COMMA.findall(text)) + min(len(text) / 100, 3)
         # text that stands in a container itself counts for it, a paragraph's for its parent
-        inner = owner if owner.tag in ("div", "section", "article", "main", "html", "body") else owner.parent or owner
+        inner = owner if owner.tag in ("div", "section", "article", "main", "form", "html", "body") else owner.parent or owner
         for share, node in zip((1, 1 / 2, 1 / 6, 1 / 9, 1 / 12), (inner, *inner.up())):
             node.points += points * share
 
