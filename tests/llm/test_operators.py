@@ -197,6 +197,15 @@ def test_chat_escapes_are_undone(spark):
         assert tuple(got[i].turns[0]) == (role, text or "") and got[i].trained == ((text or "") if role == "assistant" else "")
 
 
+def test_chat_escapes_pair_signs_with_their_words(spark):
+    words = ["s>", "/s>", "|im_start|>", "|im_end|>", "INST]", "/INST]"]
+    texts = ["<[a-z]+[\\s>]"] + [f"a{sign}{back}{word}b" for sign in "<[" for back in ("", "\\", "\\\\") for word in words]
+    texts += [a + b for a in texts[1:] for b in ("<\\", "[\\s>", "[")]
+    table = spark.createDataFrame([(i, 0, "assistant", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.read_back(chat.render(chat.fold(chat.as_events(table)))).collect()}
+    assert [got[i].turns[0].text for i in range(len(texts))] == [got[i].trained for i in range(len(texts))] == texts
+
+
 @pytest.mark.parametrize("version", ["1", "2"])
 def test_arc_records(version):
     records = [("http://a b/\n", "text/html", b"x\r\n\r\nWARC/1.1\r\n\n\n"), ("-", "text/plain", b"")]

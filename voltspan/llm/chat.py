@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 # fixed values: control strings of the common chat templates, all escaped inside texts
 CONTROL = r"<(?=\\*(?:/?s>|\|im_start\|>|\|im_end\|>))|\[(?=\\*/?INST\])"
-ESCAPED = r"(<|\[)\\(?=\\*(?:/?s>|\|im_start\|>|\|im_end\|>|/?INST\]))"
+ESCAPED = r"(<)\\(?=\\*(?:/?s>|\|im_start\|>|\|im_end\|>))|(\[)\\(?=\\*/?INST\])"
 RESETS = ("edit", "regenerate")
 
 
@@ -35,7 +35,7 @@ def escape_text(text: Column) -> Column:
 
 
 def unescape_text(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED, "$1")
+    return F.regexp_replace(text, ESCAPED, "$1$2")
 
 
 def escape_role(role: Column) -> Column:
