@@ -227,6 +227,16 @@ def test_archives_round_trip(spark):
     assert archives.round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_of_one_id_with_several_shared_payloads(spark):
+    rows = [(None, "u", "A"), (None, "u", "B"), (7, "u", "A"), (8, "u", "B"), (1, "u", "A"), (1, "u", "B"), (1, "u", "B"), (2, "u", "own")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [(r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in archives.round_trip(pages).collect()]
+    a, b, own = (base64.b32encode(hashlib.sha1(t).digest()).decode() for t in (b"A", b"B", b"own"))
+    want = [(None, a, "revisit", 7), (None, b, "revisit", 8), (1, a, "revisit", 7), (1, b, "revisit", 8), (1, b, "revisit", 8)]
+    want += [(7, a, "response", None), (8, b, "response", None), (2, own, "response", None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_archives_against_sql(spark, tmp_path):
     import duckdb
 

@@ -11,14 +11,16 @@ below all others; rows that repeat the response's page id and payload are respon
 tables give empty archives; payloads may hold any bytes, record marks and version lines included.
 
 Scale: WARC files are written by Spark's text writer (record by record, any file system) and read
-back as whole files of at most ``FILE_RECORDS`` records. Payloads are never shuffled; equal ones are
-found by digest among (page id, digest, length) rows, and only digests that occur twice are joined.
+back as whole files of at most ``FILE_RECORDS`` records. Equal payloads are found by digest among (page
+id, digest, length) rows, and only digests that occur twice are joined. Each record is joined to at most
+one revisit by row and digest; payloads are shuffled only if the revisits are too many to broadcast.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 import uuid
 from collections.abc import Iterator
@@ -175,24 +177,44 @@ def revisits(found: DataFrame, min_bytes: int = 0) -> DataFrame:
     return found.join(maybe_broadcast(stage(shared, "shared-payloads")), "digest").filter(~F.col("row").eqNullSafe(F.col("response"))).select("row", "digest", "response").distinct()
 
 
+def records(archives: DataFrame) -> DataFrame:
+    """(row, digest, fields, content) of every record of (row, arc)."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                out = []
+                for n, arc in zip(*(c.to_pylist() for c in batch.slice(start, SLICE_ROWS).columns)):
+                    for record in arc_records(arc):
+                        content = record.pop("content")
+                        out.append((n, base32_sha1(content), json.dumps(record), content))
+                columns = list(zip(*out)) or [()] * 4
+                types = [pa.int64(), pa.string(), pa.string(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["row", "digest", "fields", "content"])
+
+    return archives.select("row", "arc").mapInArrow(split, "row long, digest string, fields string, content binary")
+
+
 def convert(archives: DataFrame, path: str, min_bytes: int = 0, file_records: int = FILE_RECORDS) -> None:
     """Writes the WARC records of (row, arc) as files below ``path``."""
     again = maybe_broadcast(stage(revisits(payloads(archives), min_bytes), "revisits"))
-    rows = archives.join(again, archives["row"].eqNullSafe(again["row"]), "left").select(archives["row"], "arc", "digest", "response")
+    given = records(archives)
+    # a row may hold several payloads, so a record is told by both
+    same = given["row"].eqNullSafe(again["row"]) & (given["digest"] == again["digest"])
+    rows = given.join(again, same, "left").select(given["row"], given["digest"], "fields", "content", "response")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
-                out = []
-                for n, arc, digest, response in zip(*(c.to_pylist() for c in batch.slice(start, SLICE_ROWS).columns)):
-                    for record in arc_records(arc):
-                        own = base32_sha1(record["content"])
-                        out.append(warc_record(record, n, own, response if own == digest else None))
+                out = [
+                    warc_record(json.loads(fields) | {"content": content}, n, digest, response)
+                    for n, digest, fields, content, response in zip(*(c.to_pylist() for c in batch.slice(start, SLICE_ROWS).columns))
+                ]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     # the payloads are UTF-8, so a record is a string; the writer closes each with two line ends
-    records = rows.mapInArrow(write, "value binary").select(F.col("value").cast("string"))
-    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records).text(path)
+    lines = rows.mapInArrow(write, "value binary").select(F.col("value").cast("string"))
+    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", file_records).text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
