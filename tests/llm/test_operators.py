@@ -237,6 +237,17 @@ def test_archives_of_one_id_with_several_shared_payloads(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_damaged_payloads_are_not_read(spark, tmp_path):
+    record = next(archives.arc_records(archives.arc_archive("1", "f", "19970601000000", [("u", "text/html", b"whole")])))
+    good = archives.warc_record(record, 1, archives.base32_sha1(b"whole"), None)
+    for name, data in (("good", good), ("bad", good.replace(b"\r\n\r\nwhole", b"\r\n\r\nwhoLe"))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.txt").write_bytes(data + archives.END)
+    assert archives.read_warc(spark, str(tmp_path / "good")).first().payload_bytes == 5
+    with pytest.raises(Exception, match="doesn't fit its headers"):
+        archives.read_warc(spark, str(tmp_path / "bad")).collect()
+
+
 def test_archives_against_sql(spark, tmp_path):
     import duckdb
 

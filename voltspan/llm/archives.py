@@ -218,7 +218,10 @@ def convert(archives: DataFrame, path: str, min_bytes: int = 0, file_records: in
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Headers and payload size of every record of the WARC files below ``path``."""
+    """Headers and payload size of every record of the WARC files below ``path``.
+
+    Fails where a response's payload hasn't the length and digest its headers tell.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,6 +230,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 for h, block in warc_records(content.as_buffer().to_pybytes()):
                     head = block[: block.index(END)].decode().lower().split("\r\n")
                     size = int(next(x for x in head if x.startswith("content-length:")).split(":")[1])
+                    if h["WARC-Type"] == "response":  # the payload is there, so it is measured, not believed
+                        payload = block[block.index(END) + len(END) :]
+                        if len(payload) != size or base32_sha1(payload) != h["WARC-Payload-Digest"].removeprefix("sha1:"):
+                            raise ValueError(f"payload of {h['WARC-Record-ID']} doesn't fit its headers")
                     number = lambda x: int(x) if x else None
                     out.append((number(h["X-Source-Row"]), h["WARC-Target-URI"], size, h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"], number(h.get("X-Refers-To-Row")), h["WARC-Record-ID"], h["WARC-Date"]))
                 columns = list(zip(*out)) or [()] * 8
