@@ -123,6 +123,18 @@ def test_language_held_out_accuracy(spark, sf_dir):
     assert sum(r.lang == r.lang_pred for r in got) >= 0.9 * len(got)
 
 
+def test_languages_of_any_number(spark, odd):
+    own = "abcdefghijklmnopqrst"
+    rows = [(f"{own[i % 20]}{own[i // 20]}x{own[i // 20]}{own[i % 20]} " * 9, f"l{i}") for i in range(230)]
+    held = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(held) == {lang for _, lang in rows}
+    judge = language.Classifier(held).judge
+    assert [judge(text)[0] for text, _ in rows[::40]] == [lang for _, lang in rows[::40]]
+    few = spark.createDataFrame([(f"{c}word {i} {'z' * i}", c) for c in own[:6] for i in range(9)], "text string, lang string")
+    held = language.learn(few, texts=2, piece=40, languages=2)
+    assert set(held) == set(own[:6]) and sum(map(len, held.values())) <= 2 * 2 * 40
+
+
 def test_decontamination_in_blocks_and_spans(spark, odd, empty):
     items = [(1, "the quick brown fox jumps over the lazy dog and runs away"), (2, "Short ITEM"), (3, None), (None, "short item"), (5, "!")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")

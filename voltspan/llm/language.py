@@ -12,7 +12,8 @@ everything where nothing could be learned. Ties go to the language with most tex
 Null labels are never learned from; repeated rows count once in training and are predicted alike.
 
 Scale: two aggregations find the sample (one row per language and distinct sampled text reaches the
-driver); prediction is a scan without a shuffle. More than ``LANGUAGES`` languages raise an error.
+driver); prediction is a scan without a shuffle. More than ``LANGUAGES`` languages share the room of so
+many: each gets fewer texts, then shorter pieces, so the dictionaries stay as large in all.
 """
 
 from __future__ import annotations
@@ -44,11 +45,12 @@ def learn(labelled: DataFrame, texts: int = TEXTS, piece: int = PIECE, languages
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "lang", F.xxhash64("text").alias("place"), "text"
     )
-    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).limit(languages + 1).collect()
-    if len(sizes) > languages:
-        raise ValueError(f"more than {languages} languages")
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()
     if not sizes:
         return {}
+    if len(sizes) > languages:
+        room = languages * texts
+        texts, piece = max(1, room // len(sizes)), max(1, piece * min(room, len(sizes)) // len(sizes))
     # the smallest hashes: a share of the hash range that holds twice the texts wanted
     share = F.element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 2.0 * texts / max(1, r["n"])))]), F.col("lang"))
     low = F.col("place") < (share * 2.0**64 - 2.0**63)
@@ -75,17 +77,26 @@ class Classifier:
     """Compressors over the dictionaries; one per Python worker."""
 
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL):
-        self.coders = []
+        self.coders: list[tuple[int, str, zstandard.ZstdCompressionDict, zstandard.ZstdCompressor | None]] = []
         for rank, (lang, raw) in enumerate(dictionaries.items()):
             held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(level=level)
-            self.coders.append((rank, lang, zstandard.ZstdCompressor(dict_data=held, write_content_size=False, write_dict_id=False, write_checksum=False)))
+            # compressors hold memory whatever their dictionaries: of many languages each is made when it is used
+            self.coders.append((rank, lang, held, self.coder(held) if len(dictionaries) <= LANGUAGES else None))
+
+    @staticmethod
+    def coder(held: zstandard.ZstdCompressionDict) -> zstandard.ZstdCompressor:
+        return zstandard.ZstdCompressor(dict_data=held, write_content_size=False, write_dict_id=False, write_checksum=False)
 
     def sizes(self, text: str) -> list[tuple[int, int, str]]:
         """(encoded bytes, rank, language); long texts are encoded in blocks, all of them."""
         plain = letters(text)
         blocks = [plain[i : i + BLOCK].encode() for i in range(0, len(plain), BLOCK)]
-        return [(sum(len(coder.compress(b)) for b in blocks), rank, lang) for rank, lang, coder in self.coders]
+        out = []
+        for rank, lang, held, coder in self.coders:
+            coder = coder or self.coder(held)
+            out.append((sum(len(coder.compress(b)) for b in blocks), rank, lang))
+        return out
 
     def judge(self, text: str | None, min_margin: float = MIN_MARGIN) -> tuple[str, float, bool]:
         if not text or not self.coders or not any(c.isalpha() for c in text):
@@ -102,6 +113,9 @@ _ADDED = StructType(
 )
 
 
+ADDED = _ADDED.names
+
+
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` with lang_pred, score (the margin, 0 to 1) and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # at most LANGUAGES * TEXTS * PIECE characters
