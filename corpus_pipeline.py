@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltspan.llm import decontamination, language, mixing, near, sharding
-from voltspan.llm.common import read
+from voltspan.llm.common import beside, read
 from voltspan.session import stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with a sufficient margin; ``lang`` keeps its given value."""
     learned = language.learn(docs.filter(~language.held_out(F.col("doc_id"))).select("text", "lang"))
-    return language.identify(docs, learned).filter("not rejected").select(*docs.columns)
+    return beside(docs, language.ADDED, lambda rows: language.identify(rows, learned).filter("not rejected"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,14 @@ def test_stages_keep_the_columns_of_an_empty_table(spark, sf_dir):
         out = apply(spark, docs, sf_dir)
         assert out.count() == 0 and set(docs.columns) <= set(out.columns)
         assert name == "sharding" or out.columns == docs.columns
+
+
+def test_filters_hand_on_columns_named_like_their_own(spark, sf_dir):
+    names = "score lang_pred rejected n_words n_hit items hit_starts hit_ends Contaminated size copies taken target source_size _size _upto".split()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id % 5 = 0")
+    docs = docs.selectExpr("*", *[f"concat('{name} ', doc_id) as {name}" for name in names])
+    for name, apply in corpus_pipeline.STAGES[:4]:
+        out = apply(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        rows = out.select("doc_id", *names).collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names), name

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def beside(docs: DataFrame, added: Iterable[str], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keep(docs)`` in the columns of ``docs``, whose own values of the names ``added`` come out as they went in."""
+    taken = {name.lower() for name in added}
+    own = {c: free_name(docs, f"_own_{c}") for c in docs.columns if c.lower() in taken}
+    return keep(docs.withColumnsRenamed(own)).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+
+
 def append_columns(df: DataFrame, inputs: list[str], added: StructType, make: Callable[..., Iterator[tuple]]) -> DataFrame:
     """``df`` with the columns ``added``, made from ``inputs`` in Arrow batches inside the tasks.
 

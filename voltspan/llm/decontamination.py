@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from voltspan.llm.common import append_columns
+from voltspan.llm.common import append_columns, beside
 from voltspan.session import stage
 
 WINDOW = 10
@@ -103,6 +103,9 @@ _SCAN = StructType(
 )
 
 
+ADDED = (*_SCAN.names, "n_hit", "contaminated")
+
+
 def _merge(spans) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -146,7 +149,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_wind
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without any hit, in the columns of ``docs``."""
-    return scan(docs, benchmark, **options).filter("not contaminated").select(*docs.columns)
+    return beside(docs, ADDED, lambda rows: scan(rows, benchmark, **options).filter("not contaminated"))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -170,7 +173,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
             yield (b"".join([*pieces, raw[at:]]).decode(),)
 
     out = StructType([StructField("text", StringType())])
-    return append_columns(scan(docs, benchmark, **options), ["text", "hit_starts", "hit_ends"], out, cut).select(*docs.columns)
+    return beside(docs, ADDED, lambda rows: append_columns(scan(rows, benchmark, **options), ["text", "hit_starts", "hit_ends"], out, cut))
 
 
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -23,13 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voltspan.llm.common import row_key
+from voltspan.llm.common import beside, row_key
 from voltspan.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 RANGES = 4096
+ADDED = ("size", "source_size", "target", "copies", "taken", "_src", "_size", "_place", "_slice", "_offset", "_upto")
 
 
 def word_count(text: Column) -> Column:
@@ -163,12 +164,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, share: f
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, in the columns of ``docs``."""
-    return (
-        mix(docs, **options)
-        .filter("copies > 0")
-        .withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*docs.columns)
-    )
+
+    def taken(rows: DataFrame) -> DataFrame:
+        out = mix(rows, **options).filter("copies > 0")
+        return out.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+
+    return beside(docs, ADDED, taken)
 
 
 ORACLE = r"""
