@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltspan.llm import archives, chat, chunks, decontamination, extraction, language, mixing, near, sharding, winnowing
+from voltspan.llm import (
+    archives,
+    chat,
+    chunks,
+    decontamination,
+    extraction,
+    interactions,
+    language,
+    mixing,
+    near,
+    sharding,
+    winnowing,
+)
 from voltspan.llm.common import read
 
 
@@ -51,6 +63,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placements(read(spark, sf_dir, "documents"))
 
 
+def op11_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audited(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,6 +86,7 @@ QUERIES = {
         op8_chat,
         op9_archives,
         op10_sharding,
+        op11_interactions,
         pipeline,
     )
 }
@@ -78,4 +95,5 @@ ORACLES = {
     "op5_mixing": mixing.ORACLE,
     "op8_chat": chat.ORACLE,
     "op9_archives": archives.ORACLE,
+    "op11_interactions": interactions.ORACLE,
 }
