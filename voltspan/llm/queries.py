@@ -9,12 +9,14 @@ from voltspan.llm import (
     chat,
     chunks,
     decontamination,
+    divergence,
     extraction,
     interactions,
     language,
     mixing,
     near,
     sharding,
+    urls,
     winnowing,
 )
 from voltspan.llm.common import read
@@ -67,6 +69,14 @@ def op11_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audited(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(read(spark, sf_dir, "documents"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +97,8 @@ QUERIES = {
         op9_archives,
         op10_sharding,
         op11_interactions,
+        op12_divergence,
+        op13_url_rules,
         pipeline,
     )
 }
@@ -96,4 +108,6 @@ ORACLES = {
     "op8_chat": chat.ORACLE,
     "op9_archives": archives.ORACLE,
     "op11_interactions": interactions.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_url_rules": urls.ORACLE,
 }
