@@ -221,7 +221,7 @@ def test_nothing_to_learn_from(spark, odd_pages, marks):
 
 def brute_rules(rows, min_support, min_confidence):
     """All combinations of each basket counted, then pruned."""
-    least = max(1, -(-round(min_support * 1000) * len(rows) // 1000))
+    least = max(urls.LEAST_COUNT, -(-round(min_support * 1000) * len(rows) // 1000))
     single = collections.Counter(t for tokens, _ in rows for t in set(tokens))
     seen, both = collections.Counter(), collections.Counter()
     for tokens, verdict in rows:
