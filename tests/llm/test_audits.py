@@ -6,6 +6,7 @@ import random
 import re
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from voltspan.llm import divergence, interactions, queries, urls
@@ -169,20 +170,26 @@ def test_shares_do_not_overflow(spark):
 
 
 def test_tree_counts_a_shared_path_once():
-    tree = divergence.Tree()
+    tree, names = divergence.Tree(), {"a": 0, "b": 1, "c": 2}
     rows = [([("a", 9, 1), ("b", 7, 2)], 2), ([("a", 9, 1), ("b", 7, 2), ("c", 5, 3)], 4), ([("a", 9, 1), ("c", 5, 3)], 1), ([("b", 8, 2), ("c", 5, 3)], 3)]
     want = collections.Counter()
     for path, times in rows:
-        tree.insert([(tree.group("x", s), p, z) for s, p, z in path], times)
+        tree.insert(np.array([names[s] << 31 | p for s, p, _ in path]), np.array([z for _, _, z in path]), times)
         for (s, p, p0), (t, q, q0) in itertools.permutations(path, 2):
             f = lambda a, b: Fraction((a - b) ** 2, b).__floor__()
-            want[s, t] += times * (f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0))
-    steps = sum(len(x[0]) for x in tree.pairs)
+            want[names[s], names[t]] += times * (f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0))
     tree.leave(0)
-    # the nodes ab, abc, ac and bc meet 1 + 2 + 1 + 1 ancestors, in both directions
-    assert steps < tree.waiting == 2 * 5
-    a, b, value = tree.sums()
-    assert {(tree.names[i][1], tree.names[j][1]): v for i, j, v in zip(a, b, value.tolist())} == dict(want)
+    # the nodes ab, abc, ac and bc meet 1 + 2 + 1 + 1 ancestors
+    assert tree.waiting == 5 == sum(len(x[0]) for x in tree.pairs)
+    a, b, value = (x.tolist() for x in tree.sums())
+    assert dict(zip(zip(a, b), value)) == dict(want)
+
+
+def test_sums_are_exact():
+    codes = np.array([1, 2, 1, 1, 2] * 1000)
+    values = np.array([2**52 + 1, -3, -(2**51) - 1, 7, 2**53 - 1] * 1000)
+    keys, out = divergence.totals(codes, values)
+    assert keys.tolist() == [1, 2] and out.tolist() == [1000 * (2**52 + 1 - 2**51 - 1 + 7), 1000 * (2**53 - 4)]
 
 
 PAGES = [

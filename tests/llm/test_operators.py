@@ -54,6 +54,48 @@ def test_extraction_scores_unmarked_containers(spark):
     assert (got[2].text, got[2].n_chars) == ("", 0)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p><span data-html="<p>Advert text</p>">shown</span></p></article>', "shown"),
+        ("<article><p>one <img alt='a <b> c'> two</p></article>", "one two"),
+        ("<!--><article><p>one</p><!---><p>two</p><!-- x --!><p>three</p><!----><p>four</p></article>", "one\ntwo\nthree\nfour"),
+        ("<article><p>one <![CDATA[ gone ]]> two</p></article>", "one two"),
+        ("<article><ul><li class=ad>Buy" + "<b>" * 110 + "<li>Real item, kept</ul></article>", "Real item, kept"),
+        ("<article><p>one" + "<i>" * 300 + "<p>two</article>", "one\ntwo"),
+        ("<article><div class='notice-period'>Three months, at least.</div><h2 class='social-policy'>Policy</h2><p>Text.</p></article>",
+         "Three months, at least.\nPolicy\nText."),
+        ("<article><p>Text.</p><div class='cookie-notice'>We use them</div><div class='ad-slot-1'>Buy</div><div class='share-this'><a href=x>Send"
+         "</a></div><ul class='related-articles'><li>More</ul></article>", "Text."),
+        ('<article><p title="a>b" class=x/y data-q=\'1 "2" <3\' checked>one</p ><p =odd="v">two</p></article>', "one\ntwo"),
+        ('<article><p class="never closed>one</p><p>two</p></article>', "one\ntwo"),
+    ],
+)
+def test_extraction_reads_markup_as_browsers_do(page, text):
+    assert extraction.main_text(f"<body><nav>menu</nav>{page}<footer>foot</footer></body>") == text
+
+
+def test_extraction_of_generated_pages():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 8)))
+    noise = ["<!-- a <p>b</p> -->", "<!-->", "<!-- x --!>", "<script>if (a<b) '</p>'</script>", "<style>p{}</style>", "<![CDATA[x]]>", "<?php x ?>"]
+    marks = ["", " class=x", " id='a>b'", ' title="<p>no</p>"', " data-a=1/2", " checked", ' alt="&lt;"', " class='notice-board'"]
+
+    def inline(text):
+        tag = rng.choice(["b", "i", "em", "span", "a"])
+        return rng.choice([text, f"<{tag}{rng.choice(marks)}>{text}</{tag}>", text + rng.choice(noise)])
+
+    for _ in range(300):
+        blocks = [" ".join(word() for _ in range(rng.randint(20, 60))) + "." for _ in range(rng.randint(1, 8))]
+        body = ""
+        for block in blocks:
+            inner = rng.choice([" ", "\n ", "\t"]).join(inline(w) for w in block.split())
+            open_, close = rng.choice([("<p{}>", "</p>"), ("<p{}>", ""), ("<div{}><p>", "</div>"), ("<ul><li{}>", "</ul>"), ("<blockquote{}>", "</blockquote>")])
+            body += open_.format(rng.choice(marks)) + inner + close + rng.choice(["", *noise])
+        page = f"<body{rng.choice(marks)}><nav>x</nav>{rng.choice(noise)}<article{rng.choice(marks)}>{body}</article><aside>y</aside><footer>z"
+        assert extraction.main_text(page) == "\n".join(blocks), page
+
+
 PROSE = "".join(f"<p>Sentence number {i}, with commas, and enough words to count.</p>" for i in range(6))
 LINKS = "<div class='nav'><a href=1>one</a> <a href=2>two</a></div>"
 
@@ -270,3 +312,25 @@ def test_archives_against_sql(spark, tmp_path):
         want = con.sql(archives.ORACLE).fetchall()
     got = [tuple(r) for r in queries.op9_archives(spark, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str) and len(got) == 8
+
+
+def test_shards_stay_equal_if_one_id_holds_a_third_of_the_rows(spark):
+    rows = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "repeat('x', 199) as text", "'s' as source")
+    found = sharding.placements(rows).collect()
+    assert len(found) == 9000
+    for s in range(8):
+        own = [r for r in found if r.shard == s]
+        assert abs(sum(r["size"] for r in own) * 8 / (9000 * 200) - 1) < 0.01
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    none = spark.range(2000).selectExpr("cast(null as bigint) as doc_id", "cast(null as string) as text")
+    found = sharding.placements(none).collect()
+    assert {sum(r.shard == s for r in found) for s in range(8)} <= set(range(245, 256))
+    assert all(sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found))) for s in range(8))
+
+
+def test_sharding_keeps_columns_named_like_its_own(spark):
+    docs = spark.range(50).selectExpr("id as doc_id", "cast(id as string) as text", "'a' as size", "'b' as Shard", "'c' as own_slot", "'d' as slot")
+    out = sharding.shard(docs)
+    row = out.first()
+    assert (row.own_size, row.own_shard, row.own_slot, row["_own_slot"]) == ("a", "b", "c", "d")
+    assert sorted(out.columns) == sorted(["doc_id", "text", "own_size", "own_shard", "own_slot", "_own_slot", *sharding.ADDED])

@@ -170,3 +170,52 @@ def test_passages_are_found_however_words_are_parted(spark, docs_of):
     got = {r.doc_id: r for r in chunks.dedup_substrings(docs_of(rows)).collect()}
     assert [i for i, r in got.items() if r.repeated_chars < 100] == []
     assert all(got[i].kept_in == [i - 1] and got[i - 1].removed_chars == 0 for i in range(1, len(rows), 2))
+
+
+def brute_repeats(rows, least):
+    """Per row, its repeated and its removed code points, from all other rows' chunks."""
+    cut = [(chunks.code_points(t), chunks.borders(chunks.code_points(t))) for _, t in rows]
+    own = [[tuple(x) for x in chunks.digests(p, c).tolist()] if len(p) else [] for p, c in cut]
+    out = []
+    for n, (doc_id, _) in enumerate(rows):
+        holders = [
+            {rows[m][0] for m in range(len(rows)) if m != n and x in own[m]} | ({doc_id} if any(x in own[m] for m in range(len(rows)) if m != n) else set())
+            for x in own[n]
+        ]
+        shared = [len(h) > 1 or h == {None} for h in holders]
+        size, repeated, removed, i = np.diff(cut[n][1]), 0, 0, 0
+        while i < len(shared):
+            j = i
+            while j < len(shared) and shared[j]:
+                j += 1
+            if j > i and sum(size[i:j]) >= least:
+                repeated += sum(size[i:j])
+                for x in range(i, j):
+                    first = min((h for h in holders[x] if h is not None), default=None)
+                    removed += size[x] if first != doc_id else 0
+            i = max(j, i + 1)
+        out.append((doc_id, int(repeated), int(removed)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 64])
+def test_shared_runs_against_brute_force(spark, docs_of, monkeypatch, bits):
+    monkeypatch.setattr(chunks, "shared_bits", lambda shared, f=chunks.shared_bits: f(shared, bits))
+    rng = random.Random(31)
+    parts = [prose(rng.randint(5, 60), rng) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        text = " ".join(rng.choice([rng.choice(parts), prose(rng.randint(1, 50), rng)]) for _ in range(rng.randint(0, 5)))
+        rows.append((rng.choice([None, i, i % 7]), rng.choice([text, text, text, None])))
+    rows += rows[:10]
+    got = [(r.doc_id, r.repeated_chars, r.removed_chars) for r in chunks.dedup_substrings(docs_of(rows)).collect()]
+    assert sorted(got, key=repr) == brute_repeats(rows, chunks.PASSAGE)
+    assert any(r[1] > r[2] > 0 for r in got) or any(r[2] for r in got)
+
+
+def test_rows_without_an_id_do_not_meet_in_one_list(spark, docs_of):
+    passage = prose(60)
+    rows = [(None, f"{prose(40)} {passage} {prose(20)}") for _ in range(300)] + [(1, passage)]
+    out = chunks.dedup_substrings(docs_of(rows))
+    got = out.collect()
+    assert len(got) == 301 and all(r.removed_chars >= 100 and r.kept_in == [1] for r in got if r.doc_id is None)

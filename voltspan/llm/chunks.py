@@ -13,8 +13,11 @@ document repeats within itself stays; rows with the same id are one document; a
 all others, and where only null ids hold a passage all keep it; an empty table stays empty.
 
 Scale: each document sends every different chunk once. Counts and smallest ids are combined per task
-before the shuffle, so a chunk that a third of all documents hold is one row per task; joining them
-back is left to the skew join. A document gets the list of its own repeated chunks, never of others'.
+before the shuffle, so a chunk that a third of all documents hold is one row per task. Chunks that no other
+document holds aren't sent a second time: a bitmap of a fixed ``BITS`` bits, in which each shared digest sets one,
+goes to all tasks, and only chunks on a set bit are joined, which decides exactly; joining is left to the skew
+join. A text gets the list of its own repeated chunks under its id and digest, so rows that share an id, or have
+none, share a list only if their texts are equal too.
 """
 
 from __future__ import annotations
@@ -28,12 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from voltspan.llm.common import SLICE_ROWS, Powers, append_columns, free_name, running
+from voltspan.session import stage
 
 WINDOW = 16  # code points that the rolling hash sees: four bits of shift each
 LEAST, MOST = 16, 400
 QUIET = 96
 FAR = 12  # code points without white space after which a chunk may end at any of them
 PASSAGE = 100
+BITS = 1 << 27  # of the bitmap, 16 MB whatever the corpus; a power of two
 # what Unicode calls white space parts words
 _SPACES = np.array([chr(c).isspace() for c in range(0x3002)])
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -109,8 +114,8 @@ def digests(points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def chunk_marks(docs: DataFrame) -> DataFrame:
-    """(high, low, doc_id) of every different chunk of every document."""
+def chunk_marks(docs: DataFrame, key: str, kept=None) -> DataFrame:
+    """(high, low, ``key``) of every different chunk of every document, or of those whose ``high`` passes ``kept``."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,12 +124,32 @@ def chunk_marks(docs: DataFrame) -> DataFrame:
                 found = []
                 for text in part.column(1).to_pylist():
                     points = code_points(text)
-                    found.append(np.unique(digests(points, borders(points)), axis=0) if len(points) else np.zeros((0, 2), np.int64))
+                    own = digests(points, borders(points)) if len(points) else np.zeros((0, 2), np.int64)
+                    own = own if kept is None else own[kept(own[:, 0])]
+                    found.append(np.unique(own, axis=0))
                 row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
                 both = np.concatenate(found)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), part.column(0).take(row)], names=["high", "low", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), part.column(0).take(row)], names=["high", "low", key])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(mark, "high long, low long, doc_id long")
+    return docs.select(F.col(key).cast("long"), "text").mapInArrow(mark, f"high long, low long, {key} long")
+
+
+def shared_bits(shared: DataFrame, bits: int = BITS):
+    """A test that all digests of ``shared`` pass, and few others while these are fewer than ``bits``."""
+    at = F.pmod("high", F.lit(bits)) + 1
+    rows = shared.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("held"))
+    bitmap = bytearray(bits // 8)
+    # bits / 32768 rows of 4096 bytes at most
+    for bucket, held in rows.collect():
+        part = bytes(held)[: max(1, min(4096, bits // 8))]
+        bitmap[(bucket - 1) * 4096 : (bucket - 1) * 4096 + len(part)] = part
+    sent = shared.sparkSession.sparkContext.broadcast(bytes(bitmap))
+
+    def kept(high: np.ndarray) -> np.ndarray:
+        place = high.view(np.uint64) % np.uint64(bits)
+        return np.frombuffer(sent.value, np.uint8)[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+    return kept
 
 
 _ADDED = StructType(
@@ -156,18 +181,22 @@ def dedup_substrings(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
     repeated_chars counts passages that stand elsewhere too, removed_chars those cut out here;
     kept_in are the documents in which these stay.
     """
-    marks = chunk_marks(docs)
-    shared = (
+    marks = chunk_marks(docs, "doc_id")
+    shared = stage(
         marks.groupBy("high", "low")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"), F.count("doc_id").alias("named"))
         .filter("n > 1 and (named = 0 or named < n or first <> last)")
-        .select("high", "low", "first")
+        .select("high", "low", "first"),
+        "shared-chunks",
     )
-    found, own = free_name(docs, "_found"), free_name(docs, "_own")
+    found, own, key = free_name(docs, "_found"), free_name(docs, "_own"), free_name(docs, "_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    # rows of one id and text send the same chunks; one list of them is enough
     hits = (
-        marks.join(shared, ["high", "low"])
-        .groupBy(F.col("doc_id").alias(own))
-        .agg(F.collect_list(F.array("high", "low", "first")).alias(found))
+        chunk_marks(keyed, key, shared_bits(shared))
+        .join(shared, ["high", "low"])
+        .groupBy(F.col(key).alias(own))
+        .agg(F.collect_set(F.array("high", "low", "first")).alias(found))
     )
 
     def settle(ids, texts, founds):
@@ -191,7 +220,7 @@ def dedup_substrings(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
             size = np.diff(cuts)
             yield len(points), len(own), int(size[inside].sum()), int(size[gone].sum()), starts, ends, holders, "".join([*kept, text[at:]])
 
-    rows = docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits[own]), "left").drop(own)
+    rows = keyed.join(hits, F.col(key) == F.col(own), "left").drop(own, key)
     out = append_columns(rows, ["doc_id", "text", found], _ADDED, settle)
     return out.drop(found)
 

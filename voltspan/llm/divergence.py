@@ -42,10 +42,11 @@ DOCUMENTS_LEAST = 3
 TERMS_LISTED = 200
 BILLION = 1_000_000_000
 # distinct (language, source, term) a task holds before it hands them on
-HELD = 400_000
+HELD = 800_000
 # pair corrections a task collects before it adds them up
 PAIRS = 1 << 20
 # letters and what is not ASCII stay, A-Z become a-z, all else parts terms
+_SHARE = (1 << 31) - 1
 _PLAIN = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
@@ -56,18 +57,19 @@ def term_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
         groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         size = 0
 
-        def rows() -> pa.RecordBatch:
-            names = [(group, term, n, holds[term]) for group, (occurs, holds) in groups.items() for term, n in occurs.items()]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([g[0] for g, _, _, _ in names], pa.string()),
-                    pa.array([g[1] for g, _, _, _ in names], pa.string()),
-                    pa.array([t for _, t, _, _ in names], pa.binary()).cast(pa.string()),
-                    pa.array([n for _, _, n, _ in names], pa.int64()),
-                    pa.array([d for _, _, _, d in names], pa.int64()),
-                ],
-                names=["lang", "source", "term", "n", "docs"],
-            )
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (occurs, holds) in groups.items():
+                terms = list(occurs)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(pa.scalar(lang, pa.string()), len(terms)),
+                        pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                        pa.array(terms, pa.binary()).cast(pa.string()),
+                        pa.array(list(occurs.values()), pa.int64()),
+                        pa.array(list(map(holds.__getitem__, terms)), pa.int64()),
+                    ],
+                    names=["lang", "source", "term", "n", "docs"],
+                )
 
         for batch in batches:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -80,9 +82,9 @@ def term_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
                 size += len(occurs)
                 holds.update(set(found))
                 if size >= held:
-                    yield rows()
+                    yield from rows()
                     groups, size = {}, 0
-        yield rows()
+        yield from rows()
 
     named = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     schema = "lang string, source string, term string, n long, docs long"
@@ -116,69 +118,70 @@ def group_table(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return found.withColumn("zero", F.when(F.col("terms") > 0, share(F.lit(0), F.col("total"), F.col("terms"))))
 
 
-def correct(p: np.ndarray, p0: np.ndarray, q: np.ndarray, q0: np.ndarray) -> np.ndarray:
-    """What the nonzero counts of two sources add to f together, beyond what each adds alone."""
+def gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) ** 2 // q
 
-    def f(a, b):
-        return (a - b) ** 2 // b
 
-    return f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)
+def totals(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and the exact sums of their values."""
+    keys, where = np.unique(codes, return_inverse=True)
+    # halves of 32 bits, whose sums are exact as doubles
+    low = np.bincount(where, values & 0xFFFFFFFF, len(keys)).astype(np.int64)
+    high = np.bincount(where, values >> 32, len(keys)).astype(np.int64)
+    return keys, (high << 32) + low
 
 
 class Tree:
-    """The current path of a frequent-pattern tree that is fed with sorted rows, and the corrections so far."""
+    """The current path of a frequent-pattern tree that is fed with sorted rows, and its pairs so far.
+
+    An item is a number, group << 31 | share; ``zeros`` holds each item's share of count zero beside it.
+    """
 
     def __init__(self):
-        self.ids: dict[tuple[str, str], int] = {}
-        self.names: list[tuple[str, str]] = []
-        self.path: list[tuple[int, int, int]] = []  # (group, share, share of zero)
+        self.items = self.zeros = np.zeros(0, np.int64)
         self.times: list[int] = []  # multiplicity of each node of the path, without its last child's
-        self.pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pairs: list[tuple[np.ndarray, ...]] = []  # item, ancestor, their zeros, times
         self.waiting = 0
+        self.places: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
-    def group(self, lang: str, source: str) -> int:
-        if (lang, source) not in self.ids:
-            self.ids[lang, source] = len(self.names)
-            self.names.append((lang, source))
-        return self.ids[lang, source]
-
-    def insert(self, path: list[tuple[int, int, int]], times: int) -> None:
-        shared = 0
-        for a, b in zip(self.path, path):
-            if a != b:
-                break
-            shared += 1
+    def insert(self, items: np.ndarray, zeros: np.ndarray, times: int) -> None:
+        n = min(len(items), len(self.items))
+        unlike = np.flatnonzero(items[:n] != self.items[:n])
+        shared = int(unlike[0]) if len(unlike) else n
         self.leave(shared)
-        self.path += path[shared:]
-        self.times += [0] * (len(path) - shared)
+        self.items, self.zeros = items, zeros
+        self.times += [0] * (len(items) - shared)
         self.times[-1] += times
 
     def leave(self, depth: int) -> None:
         """Complete the nodes below ``depth``: each meets its ancestors once and hands its multiplicity on."""
-        if len(self.path) <= depth:
+        n = len(self.times)
+        if n <= depth:
             return
-        at, share, zero = np.array(self.path, np.int64).T
-        times = np.cumsum(np.array(self.times[depth:], np.int64)[::-1])[::-1]
+        times = np.cumsum(np.array(self.times[:depth - 1 if depth else None:-1], np.int64))[::-1]
         if depth:
             self.times[depth - 1] += int(times[0])
-        node, above = np.nonzero(np.arange(len(at)) < np.arange(depth, len(at))[:, None])
-        many = times[node]
-        node = node + depth
-        for a, b in ((node, above), (above, node)):
-            self.pairs.append((at[a], at[b], many * correct(share[a], zero[a], share[b], zero[b])))
-        self.waiting += 2 * len(node)
-        del self.path[depth:], self.times[depth:]
+        if (depth, n) not in self.places:
+            node, above = np.nonzero(np.arange(n) < np.arange(depth, n)[:, None])
+            if n > 64:  # long paths are rare, and their places large
+                self.places.clear()
+            self.places[depth, n] = node + depth, above
+        node, above = self.places[depth, n]
+        self.pairs.append((self.items[node], self.items[above], self.zeros[node], self.zeros[above], times[node - depth]))
+        self.waiting += len(node)
+        del self.times[depth:]
 
     def sums(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The corrections so far, added up by pair; they start anew."""
+        """What the pairs so far add to f beyond what each count adds alone, by (group, other group); they start anew."""
         if not self.pairs:
             return tuple(np.zeros(0, np.int64) for _ in range(3))
-        a, b, value = (np.concatenate(x) for x in zip(*self.pairs))
-        keys, where = np.unique(a * len(self.names) + b, return_inverse=True)
-        out = np.zeros(len(keys), np.int64)
-        np.add.at(out, where, value)
+        a, b, a0, b0, times = (np.concatenate(x) for x in zip(*self.pairs))
         self.pairs, self.waiting = [], 0
-        return keys // len(self.names), keys % len(self.names), out
+        p, q, own, other = a & _SHARE, b & _SHARE, a >> 31, b >> 31
+        there = times * (gaps(p, q) - gaps(p, b0) - gaps(a0, q) + gaps(a0, b0))
+        back = times * (gaps(q, p) - gaps(q, a0) - gaps(b0, p) + gaps(b0, a0))
+        keys, values = totals(np.concatenate([own << 31 | other, other << 31 | own]), np.concatenate([there, back]))
+        return keys >> 31, keys & _SHARE, values
 
 
 PAIR_SCHEMA = "lang string, source string, item string, value long"
@@ -188,23 +191,31 @@ def tree_corrections(patterns: DataFrame, pairs: int = PAIRS) -> DataFrame:
     """(lang, source, item, value) from sorted rows (lang, path of (source, p, zero), times)."""
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = Tree()
+        tree, groups = Tree(), {}
 
         def rows() -> pa.RecordBatch:
             a, b, value = tree.sums()
+            names = pa.array([source for _, source in groups], pa.string())
+            langs = pa.array([lang for lang, _ in groups], pa.string())
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([tree.names[i][0] for i in a], pa.string()),
-                    pa.array([tree.names[i][1] for i in a], pa.string()),
-                    pa.array([tree.names[i][1] for i in b], pa.string()),
-                    pa.array(value, pa.int64()),
-                ],
+                [langs.take(pa.array(a)), names.take(pa.array(a)), names.take(pa.array(b)), pa.array(value)],
                 names=["lang", "source", "item", "value"],
             )
 
         for batch in batches:
-            for lang, path, times in zip(*(c.to_pylist() for c in batch.columns)):
-                tree.insert([(tree.group(lang, x["source"]), x["p"], x["zero"]) for x in path], times)
+            path = batch.column(1)
+            ends = path.offsets.to_numpy()
+            cells = path.values
+            named = cells.field("source").dictionary_encode()
+            share, zero = (cells.field(c).to_numpy() for c in ("p", "zero"))
+            langs = batch.column(0).to_pylist()
+            # sources are numbered within their language
+            code = named.indices.to_numpy().astype(np.int64)
+            sources = named.dictionary.to_pylist()
+            numbers = {lang: np.array([groups.setdefault((lang, x), len(groups)) for x in sources], np.int64) for lang in set(langs)}
+            for i, (lang, times) in enumerate(zip(langs, batch.column(2).to_pylist())):
+                at = slice(ends[i], ends[i + 1])
+                tree.insert(numbers[lang][code[at]] << 31 | share[at], zero[at], times)
                 if tree.waiting >= pairs:
                     yield rows()
         tree.leave(0)
@@ -240,7 +251,9 @@ def pair_sums(cells: DataFrame, groups: DataFrame) -> DataFrame:
     path = F.array_sort(F.collect_list(F.struct("source", "p", "zero")))  # at most one per source of the language
     patterns = cells.groupBy("lang", "term").agg(path.alias("path")).filter(F.size("path") > 1).groupBy("lang", "path").agg(F.count("*").alias("times"))
     patterns = stage(patterns, "term-patterns")
-    together = tree_corrections(patterns.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path"))
+    # the first cells are enough to bring common beginnings together, and keep what Spark samples for the ranges small
+    ranges = patterns.repartitionByRange("lang", F.slice("path", 1, 3), F.xxhash64("path"))
+    together = tree_corrections(ranges.sortWithinPartitions("lang", "path"))
     return none.unionByName(alone).unionByName(together).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 

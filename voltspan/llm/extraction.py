@@ -5,7 +5,8 @@ farther away; a container's points are discounted by the share of its text that
 best container, its article element if it has one, and siblings that look like it are kept. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are taken out
 before, by element, role and the words of class and id. A form or wrapper stays, whatever it is called, if
-it holds all the page's articles or, on a page without any, most of the prose; marked parts in it go.
+it holds all the page's articles or, on a page without any, most of the prose; marked parts in it go. A name that only
+begins with such a word, as notice-period does, is a hint that unlinked prose overrules, and never takes a heading.
 
 The text: character references decoded, white space inside a block turned into one space, blocks in
 page order joined by line ends. Nothing is capped.
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,12 +70,22 @@ OWN_PROSE = frozenset(
     "comment comments commentlist disqus respond replies reply discussion cookie cookies consent gdpr notice notices "
     "alert alerts notification popup modal overlay newsletter subscribe subscription copyright".split()
 )
+# words that say nothing about what a part holds, so a name of these and dropped words is as plain as a dropped word
+NEUTRAL_WORDS = frozenset(
+    "area article articles bar block body bottom box button buttons btn col column container content cta desktop element field first form "
+    "global group header heading here holder icon icons info inner item items js label last latest left link links list main message mobile "
+    "module now outer page panel popular post posts primary recent region right row secondary section site slot story stories text this "
+    "thread title toggle top unit us warning wrap wrapper you your".split()
+)
 ARTICLE_WORDS = frozenset("article articlebody post entry story hentry".split())
 NOT_OWN = frozenset("with has no without is not".split())
 
+# comments, other markup that isn't an element, and tags with their attributes; a quoted value may hold < and >,
+# and a quote that is never closed counts as part of a name
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+>|[^>]*+(?:>|\Z))",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*+)("
+    r"(?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)?)*+(?:>|\Z))",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
@@ -83,14 +94,14 @@ _COMMA = re.compile("[,،、，﹐]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "attributes", "dropped", "inside", "bodies", "marked", "prose", "clear", "chars", "linked", "points")
+    __slots__ = ("tag", "parent", "parts", "attributes", "dropped", "inside", "bodies", "marked", "hinted", "whole", "prose", "clear", "chars", "linked", "points")
 
     def __init__(self, tag: str, parent: "Node | None", attributes: dict[str, str]):
         self.tag, self.parent, self.attributes = tag, parent, attributes
         self.parts: list[Node | str] = []
         self.inside = bool(parent) and (parent.inside or parent.tag in ("article", "main"))
         self.dropped, self.bodies, self.chars, self.linked, self.points = False, 0, 0, 0, 0.0
-        self.marked, self.prose, self.clear = False, 0, 0
+        self.marked, self.hinted, self.whole, self.prose, self.clear = False, False, 0, 0, 0
 
     def up(self):
         node = self.parent
@@ -103,71 +114,104 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)} if raw.strip(" />\n\t\r") else {}
 
 
-def _close(open_: list[Node], any_open: Counter[str], names: set[str], bounds: frozenset[str] | set[str]) -> None:
-    """Ends the nearest open element of ``names``, unless one of ``bounds`` or many others lie between."""
-    for i in range(len(open_) - 1, max(0, len(open_) - 100), -1):
-        if open_[i].tag in bounds:
-            return
-        if open_[i].tag in names:
-            for ended in open_[i:]:
-                any_open[ended.tag] -= 1
-            del open_[i:]
-            return
+class Open:
+    """The open elements, with where those of each name and the blocks stand, so that no search looks back."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at = [root], defaultdict(list)
+        self.blocks: list[int] = []
+        self.but_p: list[int] = []
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.at[node.tag].append(at)
+        if node.tag in BLOCK:
+            self.blocks.append(at)
+            if node.tag != "p":
+                self.but_p.append(at)
+
+    def cut(self, at: int) -> None:
+        """Ends the elements from ``at`` on."""
+        for node in reversed(self.nodes[at:]):
+            self.at[node.tag].pop()
+        for places in (self.blocks, self.but_p):
+            while places and places[-1] >= at:
+                places.pop()
+        del self.nodes[at:]
+
+    def last(self, names) -> int:
+        return max((self.at[n][-1] for n in names if self.at[n]), default=0)
+
+    def end(self, name: str) -> None:
+        """An end tag: the nearest such element ends, but an inline end tag doesn't end blocks."""
+        at = self.last((name,))
+        if at and (name in BLOCK or not self.blocks or self.blocks[-1] < at):
+            self.cut(at)
+
+    def close(self, name: str) -> None:
+        """What the start of element ``name`` ends."""
+        if name in BLOCK and self.last(("p",)) > (self.but_p[-1] if self.but_p else 0):
+            self.cut(self.last(("p",)))
+        if name in ENDED_BY:
+            names, bounds = ENDED_BY[name]
+            at = self.last(names)
+            if at > self.last(bounds):
+                self.cut(at)
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
     """The tree of a page, and its elements in page order."""
     root = Node("html", None, {})
-    open_, nodes, at = [root], [root], 0
-    any_open: Counter[str] = Counter()  # open elements by name
+    open_, nodes, at = Open(root), [root], 0
 
     def say(text: str) -> None:
         if text:
-            open_[-1].parts.append(html.unescape(text))
+            open_.nodes[-1].parts.append(html.unescape(text))
 
     while m := _TAG.search(page, at):
         say(page[at : m.start()])
         at, name = m.end(), (m[2] or "").lower()
         if not name:
-            if m[0].startswith("<![CDATA["):
-                open_[-1].parts.append(m[0][9:-3])
-        elif m[1]:
-            block = name in BLOCK
-            for i in range(len(open_) - 1, 0, -1) if any_open[name] else ():
-                if open_[i].tag == name:
-                    for ended in open_[i:]:
-                        any_open[ended.tag] -= 1
-                    del open_[i:]
-                    break
-                if not block and open_[i].tag in BLOCK:
-                    break  # an inline end tag doesn't end blocks
+            continue
+        if m[1]:
+            open_.end(name)
         elif name in ("html", "body"):
             root.attributes |= {k: v for k, v in _attributes(m[3][:-1]).items() if k == "lang"}
         else:
-            if name in BLOCK:
-                _close(open_, any_open, {"p"}, BLOCK_BUT_P)
-            if name in ENDED_BY:
-                _close(open_, any_open, *ENDED_BY[name])
-            node = Node(name, open_[-1], _attributes(m[3][:-1]))
-            open_[-1].parts.append(node)
+            open_.close(name)
+            parent = open_.nodes[-1]
+            node = Node(name, parent, _attributes(m[3][:-1]))
+            parent.parts.append(node)
             nodes.append(node)
             if name in RAW:
                 end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
                 at = end.start() if end else len(page)
             if name not in VOID and not (m[3].endswith("/>") and name not in BLOCK):
-                open_.append(node)
-                any_open[name] += 1
+                open_.push(node)
     say(page[at:])
     return root, nodes
 
 
+def _names(node: Node) -> list[list[str]]:
+    """The words of each name in class and id."""
+    names = [[w.lower() for w in _WORD.findall(token)] for token in f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".split()]
+    return [words for words in names if words and words[0] not in NOT_OWN]  # with-sidebar says that there is one elsewhere
+
+
 def _words(node: Node) -> set[str]:
-    out: set[str] = set()
-    for token in f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".split():
-        words = [w.lower() for w in _WORD.findall(token)]
-        if words and words[0] not in NOT_OWN:  # with-sidebar says that there is one elsewhere
-            out.update(words)
-    return out
+    return {w for words in _names(node) for w in words}
+
+
+def _hinted(node: Node) -> bool:
+    """Whether a dropped word stands in class and id, but only before a word that says something else."""
+
+    def plain(words: list[str]) -> bool:
+        named = [w for w in words if not w.isdigit() and w not in NEUTRAL_WORDS]
+        return bool(named) and (named[-1] in DROPPED_WORDS)
+
+    names = [words for words in _names(node) if not DROPPED_WORDS.isdisjoint(words)]
+    return bool(names) and not any(plain(words) for words in names)
 
 
 def _unseen(node: Node) -> bool:
@@ -191,12 +235,17 @@ def _marked(node: Node, words: set[str]) -> bool:
 
 
 def _measure(nodes: list[Node]) -> None:
-    """Notes how much unlinked text but headings elements hold: ``prose``, and outside marked parts ``clear``."""
+    """Notes how much text elements hold: ``whole``, unlinked but headings ``prose``, and outside marked parts ``clear``."""
     for node in reversed(nodes):
         if node.dropped:
             continue
         own = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
-        node.prose, node.clear = node.prose + own, node.clear + own
+        node.whole, node.prose, node.clear = node.whole + own, node.prose + own, node.clear + own
+        if node.hinted:
+            # prose overrules a name that only begins with a dropped word
+            node.marked = node.tag not in HEADINGS and 2 * node.prose < node.whole
+        if node.parent:
+            node.parent.whole += node.whole
         if node.parent and node.tag != "a" and node.tag not in HEADINGS:
             node.parent.prose += node.prose
             node.parent.clear += 0 if node.marked else node.clear
@@ -206,9 +255,11 @@ def _drop(nodes: list[Node]) -> None:
     """Marks what isn't main text, with all it holds."""
     for node in nodes:
         node.dropped = bool(node.parent and node.parent.dropped) or _unseen(node)
-        node.marked = not node.dropped and _marked(node, _words(node))
+        words = _words(node)
+        node.marked = not node.dropped and _marked(node, words)
+        node.hinted = node.marked and not words.isdisjoint(DROPPED_WORDS) and _hinted(node) and not _marked(node, words - DROPPED_WORDS)
     _measure(nodes)
-    bodies = [n for n in nodes if n.tag in ("article", "main") and n.prose and not n.dropped and not _words(n) & DROPPED_WORDS]
+    bodies = [n for n in nodes if n.tag in ("article", "main") and n.prose and not n.dropped and not (n.marked and _words(n) & DROPPED_WORDS)]
     for body in bodies:
         body.parent.bodies += 1
     for node in reversed(nodes[1:]):

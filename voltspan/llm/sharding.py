@@ -4,18 +4,23 @@ The ring has a fixed number of points. A document's id picks its point, and each
 the shard whose virtual node comes next clockwise. A shard takes points in ring order until it is
 full (the mean load and a little room); the points left over go on clockwise to the next other shard,
 round after round, until all have a place. Some shard always has room, because the ceilings add up to
-more than the whole. A point is never split, so a shard exceeds its ceiling by less than one point.
+more than the whole. A point that alone holds more than ``HEAVY`` of a shard's mean load, as one id that
+repeats does, is split by rows into slices of about that size, which overflow clockwise one by one; so a
+shard exceeds its ceiling by less than one point or slice.
 
 Defined results: null text has 0 bytes and checksum 0; a null id is replaced by the text's digest;
-repeated rows share a point and get slots of their own; an empty table stays empty.
+repeated rows share a point and get slots of their own; an empty table stays empty. Columns of the documents
+that are named like an added one (``size``, ``text_crc32``, ``shard``, ``slot``) are kept as ``own_size`` and so on.
 
-Scale: the driver sees one row per ring point, never documents. Only rows' own columns are shuffled,
-by ring point, to number them; the slots of a point start where the shard's earlier points end.
+Scale: the driver sees one row per ring point and slice, never documents. Only rows' own columns are shuffled,
+by ring point and slice, to number them; slots start where the shard's earlier points and slices end. Rows of
+heavy points are written once before they are numbered, so that their slices stay the same when a task is repeated.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame
@@ -23,10 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voltspan.llm.common import free_name, row_key
+from voltspan.session import stage
 
 POINTS = 16_384
 VIRTUAL_NODES = 64
 ROOM = 0.002
+# largest part of a shard's mean load that stays in one piece
+HEAVY = 0.005
+ADDED = ("size", "text_crc32", "shard", "slot")
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES, points: int = POINTS) -> list[list[int]]:
@@ -52,18 +61,24 @@ def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES, points: int = POINTS)
     return [orders[bisect_left(places, p) % len(nodes)] for p in range(points)]
 
 
-def assign(loads: list[int], shards: int, virtual_nodes: int = VIRTUAL_NODES, room: float = ROOM) -> list[int]:
-    """A shard for each ring point under bounded loads; ``loads`` are the points' sizes."""
-    orders, held = ring(shards, virtual_nodes, len(loads)), [0] * shards
+def assign(
+    loads: list[int], shards: int, virtual_nodes: int = VIRTUAL_NODES, room: float = ROOM, places: list[int] | None = None, points: int = 0
+) -> list[int]:
+    """A shard for each piece under bounded loads; ``loads`` are the pieces' sizes.
+
+    Piece i is ring point i, or stands on point ``places[i]`` of ``points``; pieces come in ring order.
+    """
+    orders, held = ring(shards, virtual_nodes, points or len(loads)), [0] * shards
+    places = places or list(range(len(loads)))
     ceiling, placed, waiting = sum(loads) * (1 + room) / shards, [-1] * len(loads), list(range(len(loads)))
     for step in range(shards):
         left = []
-        for p in waiting:
-            shard = orders[p][step]
-            if held[shard] < ceiling or not loads[p]:
-                placed[p], held[shard] = shard, held[shard] + loads[p]
+        for i in waiting:
+            shard = orders[places[i]][step]
+            if held[shard] < ceiling or not loads[i]:
+                placed[i], held[shard] = shard, held[shard] + loads[i]
             else:
-                left.append(p)
+                left.append(i)
         waiting = left
     return placed
 
@@ -78,26 +93,49 @@ def _lookup(values: list[int], at: Column, kind: str) -> Column:
     return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>"), at)
 
 
-def shard(docs: DataFrame, shards: int = 8, virtual_nodes: int = VIRTUAL_NODES, room: float = ROOM, points: int = POINTS) -> DataFrame:
-    """``docs`` with size, text_crc32, shard and slot (gapless from 0 in each shard)."""
-    point, order = free_name(docs, "_point"), free_name(docs, "_order")
+def shard(
+    docs: DataFrame, shards: int = 8, virtual_nodes: int = VIRTUAL_NODES, room: float = ROOM, points: int = POINTS, lean: bool = False
+) -> DataFrame:
+    """``docs`` with size, text_crc32, shard and slot (gapless from 0 in each shard); with ``lean``, doc_id alone is carried."""
+    taken = {n.lower() for n in ADDED}
+    docs = docs.withColumnsRenamed({c: free_name(docs, f"own_{c.lower()}") for c in docs.columns if c.lower() in taken})
+    point, order, piece = free_name(docs, "_point"), free_name(docs, "_order"), free_name(docs, "_piece")
     key = row_key(F.col("doc_id"), F.col("text"))
     added = {
         "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1,
         "text_crc32": F.coalesce(F.crc32("text"), F.lit(0)).cast("long"),
     }
     rows = docs.withColumns({**added, point: ring_point(key, points), order: F.xxhash64(key)})
-    loads, counts = [0] * points, [0] * points
+    rows = rows.select("doc_id", "size", "text_crc32", point, order) if lean else rows
     # at most one row per ring point
-    for p, size, n in rows.groupBy(point).agg(F.sum("size"), F.count("*")).collect():
-        loads[p], counts[p] = size, n
-    owners, filled, starts = assign(loads, shards, virtual_nodes, room), [0] * shards, []
+    cells = {p: (size, n) for p, size, n in rows.groupBy(point).agg(F.sum("size"), F.count("*")).collect()}
+    most = HEAVY * sum(size for size, _ in cells.values()) / shards
+    slices = [max(1, math.ceil(cells[p][0] / most)) if p in cells and cells[p][1] > 1 else 1 for p in range(points)]
+    starts, held = [], 0
+    for n in slices:
+        starts.append(held)
+        held += n
+    loads, counts = [0] * held, [0] * held
+    for p, (size, n) in cells.items():
+        if slices[p] == 1:
+            loads[starts[p]], counts[starts[p]] = size, n
+    rows = rows.withColumn(piece, _lookup(starts, F.col(point), "int"))
+    if max(slices) > 1:
+        many = _lookup(slices, F.col(point), "int")
+        heavy = rows.filter(many > 1).withColumn(piece, F.col(piece) + F.pmod(F.xxhash64(F.monotonically_increasing_id()), many).cast("int"))
+        heavy = stage(heavy, "heavy-points")
+        rows = rows.filter(many == 1).unionByName(heavy)
+        # a slice has at least a part of a shard, so there are at most shards / HEAVY and one for each heavy point
+        for i, size, n in heavy.groupBy(piece).agg(F.sum("size"), F.count("*")).collect():
+            loads[i], counts[i] = size, n
+    places = [p for p, n in enumerate(slices) for _ in range(n)]
+    owners, filled, first = assign(loads, shards, virtual_nodes, room, places, points), [0] * shards, []
     for owner, n in zip(owners, counts):
-        starts.append(filled[owner])
+        first.append(filled[owner])
         filled[owner] += n
-    inside = Window.partitionBy(point).orderBy(order, "doc_id", "text_crc32")
-    out = rows.withColumn("slot", _lookup(starts, F.col(point), "bigint") + F.row_number().over(inside) - 1)
-    return out.withColumn("shard", _lookup(owners, F.col(point), "int")).drop(point, order)
+    inside = Window.partitionBy(piece).orderBy(order, "doc_id", "text_crc32")
+    out = rows.withColumn("slot", _lookup(first, F.col(piece), "bigint") + F.row_number().over(inside) - 1)
+    return out.withColumn("shard", _lookup(owners, F.col(piece), "int")).drop(point, order, piece)
 
 
 def _oracle(shards: int = 8, points: int = POINTS) -> str:
@@ -135,7 +173,7 @@ PLACE_SQL = _oracle()
 
 def placements(docs: DataFrame) -> DataFrame:
     """Where every document goes, without its text. The law kept is that of equal bytes."""
-    return shard(docs.select("doc_id", "text")).select(
+    return shard(docs.select("doc_id", "text"), lean=True).select(
         "doc_id",
         "size",
         "text_crc32",
