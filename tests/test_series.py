@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voltspan.operators import anomalies, forecast, series
+from voltspan.operators import anomalies, decompose, forecast, series
 
 D0 = dt.date(2024, 1, 1)
 
@@ -90,55 +90,79 @@ def test_published_benchmark_means(spark):
     assert pivot["SA1"]["HOSTED"] == 1.94
 
 
-def brute_force(y, season, horizon):
-    """One candidate after the other in plain Python, as a check on the vector form."""
-    best = None
-    for a, b, g, phi, k in forecast.candidate_grid(season > 1 and len(y) // season >= 2):
-        cycles = min(forecast.INIT_CYCLES, len(y) // season)
-        seasonal = season > 1 and cycles >= 2
-        head = season * cycles if seasonal else min(len(y), 28)
-        half = head // 2
-        slope = (np.mean(y[half:head]) - np.mean(y[:half])) / (head - half)
-        trend = slope if phi > 0 else 0.0
-        level = np.mean(y[:head]) - trend * (head + 1) / 2
-        m = season if seasonal else 1
-        offs = [0.0] * m
-        if g > 0:
-            offs = [np.mean([y[c * m + i] for c in range(cycles)]) - np.mean(y[:head])
-                    for i in range(m)]
-        sse = 0.0
-        for t, v in enumerate(y):
-            e = v - (level + phi * trend + offs[t % m])
-            level, trend = level + phi * trend + a * e, phi * trend + b * e
-            offs[t % m] += g * e
-            sse += e * e
-        n = len(y)
-        aicc = n * math.log(max(sse / n, 1e-300)) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
-        if best is None or aicc < best[0] - 1e-9:
-            steps = [level + sum(phi**j for j in range(1, h + 1) if phi > 0) * trend
-                     + offs[(n + h - 1) % m] for h in range(1, horizon + 1)]
-            best = (aicc, (a, b, g, phi), steps)
-    return best
-
-
-@pytest.mark.parametrize("season", [7, 1])
-def test_smoothing_matches_brute_force(spark, season):
+def brute_trace(y, p, horizon=7):
+    """One candidate in plain Python: (score, relative error form) and the days ahead."""
+    alpha, trend, season, phi, times = p
+    beta, gamma = alpha * trend, (1 - alpha) * season
+    slope = (np.mean(y[14:28]) - np.mean(y[:14])) / 14 if phi > 0 else 0.0
+    level0 = np.mean(y[:28])
+    shape = [np.mean(y[i:28:7]) for i in range(7)]
+    offs = [v / level0 if times else v - level0 if season > 0 else 0.0 for v in shape]
+    level, sse, rse, logs = level0 - slope * 29 / 2, 0.0, 0.0, 0.0
+    for t, v in enumerate(y):
+        base = level + phi * slope
+        fit = base * offs[t % 7] if times else base + offs[t % 7]
+        e = v - fit
+        inner, outer = (e / offs[t % 7], e / base) if times else (e, e)
+        level, slope = base + alpha * inner, phi * slope + beta * inner
+        offs[t % 7] += gamma * outer
+        sse, rse, logs = sse + e * e, rse + (e / fit) ** 2, logs + (math.log(fit) if fit > 0 else math.nan)
+    n, k = len(y), 3 + (2 if phi == 1 else 3 if phi > 0 else 0) + (7 if season > 0 else 0)
+    pay = 2 * k + 2 * k * (k + 1) / (n - k - 1)
+    plain = math.inf if times else n * math.log(max(sse / n, 1e-300)) + pay
+    relative = n * math.log(max(rse / n, 1e-300)) + 2 * logs + pay
+    relative = math.inf if math.isnan(relative) else relative
+    ahead = [level + sum(phi**j for j in range(1, h + 1) if phi > 0) * slope for h in range(1, horizon + 1)]
+    steps = [v * offs[(n + h) % 7] if times else v + offs[(n + h) % 7] for h, v in enumerate(ahead)]
+    return (min(plain, relative), plain > relative, p), steps
+
+
+def brute_force(y, first, seasonal):
+    """The same search, one candidate after the other; ``first`` is the day of the earliest origin."""
+    points = list(forecast.coarse_grid(seasonal))
+    for i, (part, kept) in enumerate(forecast.RUNGS.items()):
+        until = min(first, max(forecast.RUNG_DAYS, first // part))
+        points = [p for _, _, p in sorted(brute_trace(y[:until], p)[0] for p in points)[:kept]]
+        if i == 0:
+            top, near = forecast.CEILING, list(points)
+            for a, t, s, phi, times in points:
+                near += [(min(a * f, top), t, s, phi, times) for f in forecast.STEPS["alpha"]]
+                near += [(a, min(t * f, top), s, phi, times) for f in forecast.STEPS["trend"] if phi > 0]
+                near += [(a, t, s, forecast.SOFTER, times) for _ in (1,) if phi > 0]
+                near += [(a, t, min(s * f, top), phi, times) for f in forecast.STEPS["season"] if s > 0]
+            points = sorted(set(near))
+    return min((brute_trace(y, p) for p in points), key=lambda x: x[0])
+
+
+@pytest.mark.parametrize(("seasonal", "times"), [(True, False), (True, True), (False, False)])
+def test_smoothing_matches_brute_force(spark, seasonal, times):
     rng = np.random.default_rng(3)
-    t = np.arange(120)
-    y = 100 + 0.2 * t + 10 * np.sin(2 * np.pi * t / 7) + rng.normal(0, 2, 120)
-    stops = ", ".join(f"named_struct('n', {n}, 'cutoff', date_add(date'2024-01-01', {n - 1}))" for n in (120, 90))
+    t = np.arange(700)
+    wave = np.sin(2 * np.pi * t / 7) * (seasonal > 0)
+    y = (100 + 0.5 * t) * (1 + 0.3 * wave) + rng.normal(0, 2, 700) if times else 100 + 0.2 * t + 10 * wave + rng.normal(0, 2, 700)
+    stops = ", ".join(f"named_struct('n', {n}, 'cutoff', date_add(date'2024-01-01', {n - 1}))" for n in (700, 690))
     jobs = spark.createDataFrame([("a", y.tolist())], "unique_id string, values array<double>").selectExpr(
         "*", f"array({stops}) as stops")
-    fits = forecast.smoothed(jobs, season > 1)
-    got = forecast.ahead(fits, 7, season > 1).orderBy("n", "step").collect()
-    for n, rows in ((90, got[:7]), (120, got[7:])):
-        _, params, want = brute_force(list(y[:n]), season, 7)
-        fit = fits.filter(f"fit.n = {n}").selectExpr("fit.*").first()
-        assert (fit.alpha, fit.beta, fit.gamma, fit.phi) == pytest.approx(params)
+    fits = forecast.smoothed(jobs, seasonal).collect()
+    got = forecast.ahead(forecast.smoothed(jobs, seasonal), 7, seasonal).orderBy("n", "step").collect()
+    assert len(fits) == 2
+    for n, rows in ((690, got[:7]), (700, got[7:])):
+        (_, relative, (alpha, trend, season, phi, by)), want = brute_force(y[:n], 690, seasonal)
+        fit = next(r.fit for r in fits if r.fit.n == n)
+        assert (fit.alpha, fit.beta, fit.gamma, fit.phi) == pytest.approx((alpha, alpha * trend, (1 - alpha) * season, phi))
+        assert (fit.form[0] == "M", fit.times) == (relative, by) and by == times
         assert [r.y_hat for r in rows] == pytest.approx(want)
         assert [r.error for r in rows] == sorted(r.error for r in rows)
 
 
+def test_series_that_reach_zero_have_no_relative_errors(spark):
+    y = [float(i % 7) - 3 for i in range(90)]
+    jobs = spark.createDataFrame([("a", y), ("b", y[:20]), ("c", [None, *y])], "unique_id string, values array<double>").selectExpr(
+        "*", "array(named_struct('n', 90, 'cutoff', date'2024-01-01'), named_struct('n', 27, 'cutoff', date'2023-01-01')) as stops")
+    rows = forecast.smoothed(jobs, True).collect()
+    assert [(r.unique_id, r.fit.n, r.fit.form[0], r.fit.times) for r in rows] == [("a", 90, "A", False)]
+
+
 def test_origins_before_a_series_or_too_early_get_no_row(spark):
     df = frame(spark, {"a": [float(i % 7) for i in range(40)], "b": [1.0] * 20})
     got = forecast.backtest(df, ["AutoETS", "MSTL"]).collect()
@@ -157,14 +181,50 @@ def test_decomposition_recovers_both_seasons(spark):
     assert np.abs(np.array([r.predicted_demand_mw for r in fc]) - truth).max() < 1.0
 
 
-def test_season_is_taken_out(spark):
-    week = [3.0, -1.0, 0.0, 2.0, -4.0, 1.0, -1.0] * 6
-    rows = spark.createDataFrame(
-        [("a", D0, i, D0 + dt.timedelta(i), 50.0 + i + v) for i, v in enumerate(week)],
-        "unique_id string, cutoff date, t int, ds date, y double")
-    plain, season = forecast.without_season(rows, 7)
-    assert [r.s for r in season.orderBy("i").collect()] == pytest.approx(week[:7])
-    assert [r.y for r in plain.orderBy("t").collect()] == pytest.approx([50.0 + i for i in range(42)])
+def brute_loess(y, q, jump, beyond=0):
+    """Weighted least squares by numpy at each fitted place, straight lines between."""
+    n, first, last = len(y), -beyond, len(y) - 1 + beyond
+    places = sorted({*range(first, last + 1, jump), last})
+    fits = []
+    for i in places:
+        near = sorted(range(n), key=lambda j: (abs(j - i), j))[:q]
+        far = max(abs(j - i) for j in near) + max(0, q - n) // 2
+        w = [(1 - (abs(j - i) / far) ** 3) ** 3 if abs(j - i) <= 0.999 * far else 0.0 for j in near]
+        if sum(x > 0 for x in w) < 2:
+            fits.append(np.average([y[j] for j in near], weights=w))
+        else:
+            fits.append(np.polyval(np.polyfit(near, [y[j] for j in near], 1, w=np.sqrt(w)), i))
+    return np.interp(range(first, last + 1), places, fits)
+
+
+@pytest.mark.parametrize(("n", "q", "jump", "beyond"), [(40, 7, 1, 0), (41, 13, 2, 0), (6, 15, 2, 1), (30, 11, 2, 1), (1, 11, 2, 1), (100, 61, 7, 0)])
+def test_local_regression_against_least_squares(n, q, jump, beyond):
+    y = np.random.default_rng(n).normal(0, 5, n)
+    assert decompose.loess(y, q, jump, beyond) == pytest.approx(brute_loess(y, q, jump, beyond), abs=1e-7)
+
+
+def test_both_seasons_are_taken_out(spark):
+    rng = np.random.default_rng(8)
+    t = np.arange(61)
+    y = 50 + t + np.array([3.0, -1.0, 0.0, 2.0, -4.0])[t % 5] + np.sin(2 * np.pi * t / 12) + rng.normal(0, 0.2, 61)
+    mean = lambda v, k: np.array([np.mean(v[i : i + k]) for i in range(len(v) - k + 1)])
+    rest, want = y, {}
+    for period, cycles in ((5, 11), (12, 15)):
+        trend, wide = np.zeros(61), decompose.windows(period, cycles)
+        for _ in range(2):
+            longer = np.zeros(61 + 2 * period)
+            for i in range(period):
+                longer[i::period] = brute_loess((rest - trend)[i::period], cycles, 2, 1)
+            low = mean(mean(mean(longer, period), period), 3)
+            season = longer[period:-period] - brute_loess(low, wide["low"], decompose.jump_of(wide["low"]))
+            trend = brute_loess(rest - season, wide["trend"], decompose.jump_of(wide["trend"]))
+        rest, want[period] = rest - season, season[-period:]
+    jobs = spark.createDataFrame([("a", y.tolist(), 61), ("b", (2 * y).tolist(), 61)], "unique_id string, values array<double>, n int")
+    got = {r.unique_id: r for r in decompose.seasons_out(jobs, (5, 12)).collect()}
+    for name, factor in (("a", 1), ("b", 2)):
+        assert got[name]["values"] == pytest.approx(factor * rest, abs=1e-6)
+        assert got[name].season_5 == pytest.approx(factor * want[5], abs=1e-6)
+        assert got[name].season_12 == pytest.approx(factor * want[12], abs=1e-6)
 
 
 def test_forecast_job(spark):

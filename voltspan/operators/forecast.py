@@ -1,145 +1,191 @@
 """Forecast models that need a recursion over the days of a series, in columns.
 
 A series is packed into an array with one value per calendar day, so its length is bounded by the
-calendar. Every parameter candidate of a series is a row; the recursion is a fold over the array that
-notes its state on the last day of every origin, so all origins of a series share one pass. The best
-candidate per origin is an aggregate.
+calendar, and all work on it stays in its row: nothing is shuffled after the packing. The recursion of
+exponential smoothing is a fold over the array that notes its state on the last day of every origin, so
+all origins of a series share one pass.
 
-Deviations from optimiser-based libraries: parameters come from a fixed grid and initial states from
-the first four weeks, so accuracy figures are this module's own. ``AutoETS`` is additive exponential
-smoothing with a weekly season. ``MSTL`` takes weekly and yearly seasons out in turn, as means by place
-in the season of what a centred moving mean leaves, and smooths the rest without a season.
+``AutoETS`` searches additive and multiplicative errors, no, linear or damped trend, and no, additive or
+multiplicative weekly season. The search halves: a coarse grid runs over the first twelfth of the days
+before the earliest origin, the best few and their neighbours over the first fifth, and the best few of
+these over all days; corrected AIC chooses, at the end for each origin. Additive errors with a
+multiplicative season are left out, as is usual. ``MSTL`` takes weekly and yearly seasons out by local
+regression (``operators.decompose``) and smooths the rest without a season.
+
+Deviations from optimiser-based libraries: parameters come from the search above and initial states
+from the first four weeks, so accuracy figures are this module's own. Bands carry the root mean square of
+the in-sample errors forward, for all forms.
 
 Defined results: an origin with fewer days than ``MIN_DAYS`` of a model gets no row from it, and neither
-does a series with a null value.
+does a series with a null value. Candidates that reach a forecast of zero or less have no multiplicative
+form.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache, reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltspan.operators import series as S
+from voltspan.operators.decompose import seasons_out
 
 # ---------------------------------------------------------------- fixed values
 MODELS = ["SeasonalNaive", "AutoETS", "MSTL"]
 SEASONS = (7, 365)
-ALPHAS = (0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
-SHARES = (0.05, 0.1, 0.3)  # beta as a share of alpha, gamma as a share of 1 - alpha
-DAMPING = (0.9, 0.98)
+# the coarse grid: alpha; beta as a share of alpha with the damping; gamma as a share of 1 - alpha
+ALPHAS = (0.05, 0.2, 0.5, 0.8)
+TRENDS = ((0.0, 0.0), (0.1, 1.0), (0.1, 0.9))  # phi 0 means no trend, 1 undamped
+SEASON_SHARES = (0.05, 0.2)
+# neighbours: factors of alpha, of the shares, and another damping
+STEPS = {"alpha": (0.6, 1.6), "trend": (0.3, 3.0), "season": (0.4, 2.5)}
+SOFTER = 0.97
+CEILING = 0.98
+RUNGS = {12: 3, 5: 2}  # part of the history that a round sees, and how many it keeps
+RUNG_DAYS = 210  # days that a round sees at least
 INIT_CYCLES = 4
-# every place of the longest season needs a day whose moving mean is whole
+# every place of the longest season needs two days
 MIN_DAYS = {"AutoETS": INIT_CYCLES * S.SEASON, "MSTL": 2 * max(SEASONS)}
 # ------------------------------------------------------------------------------
+_NAMES = ("alpha", "trend", "season", "phi", "times")
+_POINT = "struct<alpha:double,trend:double,season:double,phi:double,times:boolean>"
 
 
 @lru_cache(maxsize=4)
-def candidate_grid(seasonal: bool) -> tuple[tuple[float, float, float, float, int], ...]:
-    """Rows (alpha, beta, gamma, phi, parameters); phi 0 means no trend, 1 undamped."""
-    rows = []
-    for a in ALPHAS:
-        for gamma in [0.0] + ([(1 - a) * s for s in SHARES] if seasonal else []):
-            # level, its start and the variance; a season adds gamma and six free offsets
-            k = 3 + (7 if gamma else 0)
-            rows.append((a, 0.0, gamma, 0.0, k))
-            for s in SHARES:
-                rows.append((a, a * s, gamma, 1.0, k + 2))
-                rows.extend((a, a * s, gamma, phi, k + 3) for phi in DAMPING)
-    return tuple(rows)
-
-
-def _with_candidates(jobs: DataFrame, seasonal: bool) -> DataFrame:
-    """``jobs`` once per candidate ``p``, spread by tens so that few series use all tasks evenly."""
-    grid = [
-        F.struct(
-            F.lit(i).alias("cid"),
-            *[F.lit(float(v)).alias(c) for c, v in zip(("alpha", "beta", "gamma", "phi", "k"), row)],
-            F.lit(row[3] * row[1]).alias("to_push"),
-            F.lit(row[0] + row[3] * row[1]).alias("to_known"),
-        )
-        for i, row in enumerate(candidate_grid(seasonal))
-    ]
-    tens = [F.array(*grid[i : i + 10]) for i in range(0, len(grid), 10)]
-    tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    some = jobs.withColumn("_ten", F.explode(F.sequence(F.lit(0), F.lit(len(tens) - 1))))
-    # a stated number of partitions is kept, so few long series still use every core
-    some = some.repartition(4 * tasks, "unique_id", "stops", "_ten")
-    return some.withColumn("p", F.explode_outer(F.get(F.array(*tens), F.col("_ten")))).drop("_ten")
+def coarse_grid(seasonal: bool) -> tuple[tuple[float, float, float, float, bool], ...]:
+    """Rows (alpha, trend, season, phi, times): shares, damping, and whether the season multiplies."""
+    forms = [(0.0, False)] + ([(s, times) for s in SEASON_SHARES for times in (False, True)] if seasonal else [])
+    return tuple((a, trend, season, phi, times) for a in ALPHAS for trend, phi in TRENDS for season, times in forms)
+
+
+def _neighbours(p: str) -> str:
+    """A point of the search and those a step away along each of its own parameters."""
+
+    def point(name: str, value: str) -> str:
+        return "struct(" + ", ".join(f"{value if c == name else f"{p}.{c}"} as {c}" for c in _NAMES) + ")"
+
+    def steps(name: str, field: str) -> list[str]:
+        return [point(field, f"least({p}.{field} * {f!r}D, {CEILING!r}D)") for f in STEPS[name]]
+
+    def points(rows: list[str]) -> str:
+        return f"cast(array({', '.join(rows)}) as array<{_POINT}>)"
+
+    return (
+        f"concat({points([p, *steps('alpha', 'alpha')])}, "
+        f"if({p}.phi > 0, {points([*steps('trend', 'trend'), point('phi', f'{SOFTER!r}D')])}, {points([])}), "
+        f"if({p}.season > 0, {points(steps('season', 'season'))}, {points([])}))"
+    )
 
 
 def _mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / F.size(values)
 
 
-def smoothed(jobs: DataFrame, seasonal: bool) -> DataFrame:
-    """(unique_id, cutoff, fit): the best candidate by corrected AIC on the days up to each cutoff.
+def _starts(values: Column) -> Column:
+    """Level, slope and weekly shape of the first four weeks."""
+    m, head = S.SEASON, INIT_CYCLES * S.SEASON
+    first = lambda i, n: F.slice(values, i + 1, n)
+    at = lambda i: F.get(values, F.lit(i))
+    return F.struct(
+        _mean(first(0, head)).alias("level"),
+        ((_mean(first(head // 2, head // 2)) - _mean(first(0, head // 2))) / (head // 2)).alias("slope"),
+        F.array(*[reduce(Column.__add__, [at(c * m + i) for c in range(INIT_CYCLES)]) / INIT_CYCLES for i in range(m)]).alias("shape"),
+    )
+
 
-    ``jobs`` has unique_id, values and stops, an array of (n, cutoff): the first n values count for
-    that cutoff. Additive errors, additive trend (optionally damped) and additive weekly season, in
-    error-correction form; without ``seasonal`` the candidates have no season.
+def _traced(p: str, ends: str, seasonal: bool) -> str:
+    """Array of (n, now): the state of candidate ``p`` after the first n values, for each n of ``ends`` in order.
+
+    ``push`` is the damped trend, ``known`` the level after it: the forecast of the day without its season. Next to
+    the places of the week, the next day's first, run sums of squared errors, of squared relative errors and of the
+    logarithms of the forecasts.
     """
     m, head = S.SEASON, INIT_CYCLES * S.SEASON
-    first = lambda i, n: F.slice("values", i + 1, n)
-    level0 = _mean(first(0, head))
-    slope0 = (_mean(first(head // 2, head // 2)) - _mean(first(0, head // 2))) / (head // 2)
-    at = lambda i: F.get("values", F.lit(i))
-    jobs = jobs.filter(F.size("values") >= head).withColumns({
-        "level0": level0, "slope0": slope0,
-        "shape": F.array(*[reduce(Column.__add__, [at(c * m + i) for c in range(INIT_CYCLES)]) / INIT_CYCLES
-                           for i in range(m)]),
-    })
-    rows = _with_candidates(jobs.withColumn("ends", F.array_sort(F.array_distinct(F.filter("stops.n", lambda n: n >= head)))), seasonal)
-    p = lambda name: F.col("p")[name]
-    slope = F.when(p("phi") > 0, F.col("slope0")).otherwise(0.0)
-    offset = lambda i: F.when(p("gamma") > 0, F.col("shape")[i] - F.col("level0")).otherwise(0.0)
+    slope = f"if({p}.phi > 0, _starts.slope, 0D)"
     places = [f"s{i}" for i in range(m)] if seasonal else []
-    # ``push`` is the damped trend, ``known`` the level after it: the forecast of the day without its season
-    start = F.struct(
-        (F.col("level0") - slope * (head + 1) / 2.0 + p("phi") * slope).alias("known"),
-        (p("phi") * slope).alias("push"),
-        *[offset(i).alias(c) for i, c in enumerate(places)],
-        F.lit(0.0).alias("sse"),
+    offsets = [
+        f"if({p}.times, try_divide(_starts.shape[{i}], _starts.level), if({p}.season > 0, _starts.shape[{i}] - _starts.level, 0D))"
+        for i in range(len(places))
+    ]
+    start = [f"_starts.level - {slope} * {(head + 1) / 2!r}D + {p}.phi * {slope}", f"{p}.phi * {slope}", *offsets, "0D", "0D", "0D"]
+    state = ["known", "push", *places, "sse", "rse", "logs"]
+    kind = f"array<struct<n:int,now:struct<{','.join(f'{c}:double' for c in state)}>>>"
+    fit, inner, outer = "x.known", "day.error", "day.error"
+    if seasonal:
+        fit = f"if({p}.times, x.known * x.s0, x.known + x.s0)"
+        inner, outer = (f"if({p}.times, try_divide(day.error, was.{c}), day.error)" for c in ("s0", "known"))
+    beta = f"{p}.alpha * {p}.trend"
+    rate = f"struct({p}.alpha + {p}.phi * {beta} as known, {p}.phi * {beta} as push, (1 - {p}.alpha) * {p}.season as season)"
+    after = [
+        f"was.known + {p}.phi * was.push + rate.known * {inner} as known",
+        f"{p}.phi * was.push + rate.push * {inner} as push",
+        *[f"was.{n} as {c}" for c, n in zip(places, places[1:])],
+        *([f"was.s0 + rate.season * {outer} as {places[-1]}"] if seasonal else []),
+        "was.sse + day.error * day.error as sse",
+        "was.rse + try_divide(day.error, day.fit) * try_divide(day.error, day.fit) as rse",
+        "was.logs + ln(if(day.fit > 0, day.fit, null)) as logs",
+    ]
+    # arrays of one, so that what is used again is computed once
+    one_day = f"aggregate(transform(array({fit}), fit -> struct(fit as fit, y - fit as error)), x, (was, day) -> struct({', '.join(after)}))"
+    days = "slice(values, element_at(seen, -1).n + 1, until - element_at(seen, -1).n)"
+    note = f"array_append(seen, struct(until as n, aggregate({days}, element_at(seen, -1).now, (x, y) -> {one_day}) as now))"
+    zero = f"cast(array(struct(0, struct({', '.join(start)}))) as {kind})"
+    return f"slice(transform(array({rate}), rate -> aggregate({ends}, {zero}, (seen, until) -> {note}))[0], 2, size({ends}))"
+
+
+def _scored(p: str, x: str) -> str:
+    """(score, relative, p, x): the better corrected AIC of the two error forms; null where there is none."""
+    # level, its start and the variance; a season adds its rate and six free offsets
+    k = f"(3 + case when {p}.phi = 1 then 2 when {p}.phi > 0 then 3 else 0 end + if({p}.season > 0, 7, 0))"
+    pay = f"2 * {k} + 2 * {k} * ({k} + 1) / ({x}.n - {k} - 1)"
+    plain = f"if({p}.times, null, {x}.n * ln(greatest({x}.now.sse / {x}.n, 1e-300D)) + {pay})"
+    relative = f"nanvl({x}.n * ln(greatest({x}.now.rse / {x}.n, 1e-300D)) + 2 * {x}.now.logs + {pay}, null)"
+    return (
+        f"transform(array(struct({plain} as plain, {relative} as rel)), s -> struct(nanvl(least(s.plain, s.rel), null) as score, "
+        f"coalesce(s.plain > s.rel, s.plain is null) as relative, {p} as p, {x} as x))[0]"
     )
-    kind = f"struct<n:int,now:struct<{','.join(f'{c}:double' for c in ['known', 'push', *places, 'sse'])}>>"
-
-    def after(x: Column, error: Column) -> Column:
-        """The state once the error of a day is known; the next day's place comes first."""
-        pushed = p("phi") * x["push"]
-        return F.struct(
-            (x["known"] + pushed + p("to_known") * error).alias("known"),
-            (pushed + p("to_push") * error).alias("push"),
-            *[x[n].alias(c) for c, n in zip(places, places[1:])],
-            *([(x["s0"] + p("gamma") * error).alias(places[-1])] if seasonal else []),
-            (x["sse"] + error * error).alias("sse"),
-        )
 
-    def day(x: Column, y: Column) -> Column:
-        error = y - x["known"] - x["s0"] if seasonal else y - x["known"]
-        return F.aggregate(F.array(error), x, after)  # an array of one, so that the error is computed once
 
-    def until(seen: Column, end: Column) -> Column:
-        """On from the last noted state to the next origin's last day."""
-        last = F.element_at(seen, -1)
-        days = F.slice("values", last["n"] + 1, end - last["n"])
-        return F.array_append(seen, F.struct(end.alias("n"), F.aggregate(days, last["now"], day).alias("now")))
+def smoothed(jobs: DataFrame, seasonal: bool) -> DataFrame:
+    """One row per job and cutoff, with ``fit``: the best candidate on the days up to the cutoff.
 
-    zero = F.array(F.struct(F.lit(0).alias("n"), start.alias("now"))).cast(f"array<{kind}>")
-    seen = F.aggregate("ends", zero, until)
-    n, k = F.col("x.n"), F.col("p.k")
-    score = n * F.log(F.greatest(F.col("x.now.sse") / n, F.lit(1e-300))) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
-    return (
-        # an inner explode would add a filter on the array's size, and with it a second fold
-        rows.select("unique_id", "stops", "p", F.explode_outer(seen).alias("x"))
-        .filter(n >= head)
-        .select("unique_id", F.explode(F.filter("stops", lambda s: s["n"] == F.col("x.n"))["cutoff"]).alias("cutoff"), "p", "x", score.alias("score"))
-        .filter(F.col("score").isNotNull() & ~F.isnan("score"))
-        .groupBy("unique_id", "cutoff")
-        # one row per candidate
-        .agg(F.min(F.struct("score", "p.cid", "p", "x")).alias("best"))
-        .select("unique_id", "cutoff", F.struct("best.p.*", "best.x.n", "best.x.now.*", F.sqrt(F.col("best.x.now.sse") / F.col("best.x.n")).alias("sigma")).alias("fit"))
+    ``jobs`` has values and stops, an array of (n, cutoff): the first n values count for that cutoff.
+    Its other columns come along. Without ``seasonal`` no candidate has a season.
+    """
+    head = INIT_CYCLES * S.SEASON
+    rows = jobs.withColumn("_ends", F.array_sort(F.array_distinct(F.filter("stops.n", lambda n: n >= head)))).filter(
+        (F.size("values") >= head) & (F.size("_ends") > 0) & F.forall("values", lambda v: v.isNotNull())
     )
+    rows = rows.withColumn("_starts", _starts(F.col("values")))
+    # the search is written as text: parsed at once, where a column for each of its thousand nodes takes seconds
+    grid = ", ".join(f"({a!r}D, {t!r}D, {s!r}D, {phi!r}D, {times})" for a, t, s, phi, times in coarse_grid(seasonal))
+    points = f"cast(array({grid}) as array<{_POINT}>)"
+    for part, kept in RUNGS.items():
+        until = f"array(least(_ends[0], greatest({RUNG_DAYS}, _ends[0] div {part})))".replace(" div ", " DIV ")
+        tried = f"transform({points}, p -> transform({_traced('p', f'cast({until} as array<int>)', seasonal)}, x -> {_scored('p', 'x')})[0])"
+        best = f"transform(slice(array_sort(filter({tried}, c -> c.score is not null)), 1, {kept}), c -> c.p)"
+        rows = rows.withColumn(f"_kept{part}", F.expr(best))
+        points = f"array_distinct(flatten(transform(_kept{part}, q -> {_neighbours('q')})))"
+    points = f"_kept{part}"
+    rows = rows.withColumn("_runs", F.expr(f"flatten(transform({points}, p -> transform({_traced('p', '_ends', seasonal)}, x -> {_scored('p', 'x')})))"))
+    mine = "array_min(filter(_runs, c -> c.x.n = _stop.n and c.score is not null))"
+    rows = rows.withColumn("_stop", F.explode("stops")).withColumn("_best", F.expr(mine)).filter("_best is not null")
+    trend = F.when(F.col("_best.p.phi") == 1, "A").when(F.col("_best.p.phi") > 0, "Ad").otherwise("N")
+    season = F.when(F.col("_best.p.times"), "M").when(F.col("_best.p.season") > 0, "A").otherwise("N")
+    fit = F.struct(
+        F.concat(F.when(F.col("_best.relative"), "M").otherwise("A"), trend, season).alias("form"),
+        "_best.p.alpha",
+        (F.col("_best.p.alpha") * F.col("_best.p.trend")).alias("beta"),
+        ((1 - F.col("_best.p.alpha")) * F.col("_best.p.season")).alias("gamma"),
+        "_best.p.phi",
+        "_best.p.times",
+        "_best.x.n",
+        "_best.x.now.*",
+        F.sqrt(F.col("_best.x.now.sse") / F.col("_best.x.n")).alias("sigma"),
+    )
+    own = [c for c in jobs.columns if c not in ("values", "stops")]
+    return rows.select(*own, F.col("_stop.cutoff").alias("cutoff"), fit.alias("fit"))
 
 
 def _damped(steps: Column) -> Column:
@@ -149,73 +195,61 @@ def _damped(steps: Column) -> Column:
 
 
 def ahead(fits: DataFrame, horizon: int, seasonal: bool) -> DataFrame:
-    """(unique_id, cutoff, n, step, y_hat, error) of the days after each cutoff."""
+    """The days after each cutoff: the columns of ``fits`` but ``fit``, with n, step, y_hat and error."""
     m, h = S.SEASON, F.col("step")
     # weight of an error i steps back on today's forecast
     carry = lambda i: F.col("fit.alpha") + F.col("fit.beta") * _damped(i) + F.when(i % m == 0, F.col("fit.gamma")).otherwise(0.0)
     earlier = F.slice(F.sequence(F.lit(1), F.lit(max(1, horizon))), F.lit(1), h - 1)
     spread = F.aggregate(earlier, F.lit(1.0), lambda total, i: total + F.pow(carry(i), F.lit(2.0)))
-    place = F.array(*[F.col(f"fit.s{i}") for i in range(m)])[(h - 1) % m] if seasonal else F.lit(0.0)
+    level = F.col("fit.known") + F.col("fit.push") * _damped(h - 1)
+    if seasonal:
+        place = F.array(*[F.col(f"fit.s{i}") for i in range(m)])[(h - 1) % m]
+        level = F.when(F.col("fit.times"), level * place).otherwise(level + place)
+    own = [c for c in fits.columns if c != "fit"]
     return fits.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).select(
-        "unique_id", "cutoff", F.col("fit.n").alias("n"), "step",
-        (F.col("fit.known") + F.col("fit.push") * _damped(h - 1) + place).alias("y_hat"),
-        (F.col("fit.sigma") * F.sqrt(spread)).alias("error"),
+        *own, F.col("fit.n").alias("n"), "step", level.alias("y_hat"), (F.col("fit.sigma") * F.sqrt(spread)).alias("error")
     )
 
 
-def _values() -> list[Column]:
-    """First day and values in day order of a gapless series."""
+def packed(filled: DataFrame, origins: DataFrame) -> DataFrame:
+    """(unique_id, values, stops): each gapless series as an array, with the days that count for each origin."""
     pairs = F.sort_array(F.collect_list(F.struct("ds", "y")))
-    return [F.min("ds").alias("first"), F.transform(pairs, lambda p: p["y"]).alias("values")]
-
+    stops = origins.groupBy("unique_id").agg(F.collect_set("cutoff").alias("cutoffs"))
+    return (
+        filled.groupBy("unique_id")
+        .agg(F.min("ds").alias("first"), F.transform(pairs, lambda p: p["y"].cast("double")).alias("values"))
+        .join(stops, "unique_id")
+        .select("unique_id", "values", F.transform("cutoffs", lambda c: F.struct(
+            (F.datediff(c, F.col("first")) + 1).alias("n"), c.alias("cutoff"))).alias("stops"))
+    )
 
-def without_season(rows: DataFrame, period: int) -> tuple[DataFrame, DataFrame]:
-    """(rows with the season of an odd period taken out of y, season by place ``i``).
 
-    ``rows`` has unique_id, cutoff, t (days since the first), y. The season is the mean by place of
-    y less its centred moving mean, where this is whole, moved so that it adds up to nothing.
-    """
-    keys, half = ["unique_id", "cutoff"], period // 2
-    by_day = Window.partitionBy(*keys).orderBy("t")
-    upto = rows.withColumn("_sum", F.sum("y").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
-    before = F.coalesce(F.lag("_sum", half + 1).over(by_day), F.when(F.col("t") == half, 0.0))
-    rest = upto.withColumn("_rest", F.col("y") - (F.lead("_sum", half).over(by_day) - before) / period)
-    season = rest.groupBy(*keys, (F.col("t") % period).alias("i")).agg(F.avg("_rest").alias("_mean"))
-    season = season.select(*keys, "i", (F.col("_mean") - F.avg("_mean").over(Window.partitionBy(*keys))).alias("s"))
-    plain = rows.withColumn("i", F.col("t") % period).join(season, [*keys, "i"])
-    return plain.select(*keys, "t", "ds", (F.col("y") - F.col("s")).alias("y")), season
+def _dealt(jobs: DataFrame) -> DataFrame:
+    """Rows dealt out in turn over a stated number of tasks, which is kept, so that few long series still use every core."""
+    return jobs.repartition(4 * int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def smoothing_predictions(filled: DataFrame, origins: DataFrame, horizon: int) -> DataFrame:
     """``AutoETS``: (unique_id, cutoff, step, y_hat, error)."""
-    stops = origins.groupBy("unique_id").agg(F.collect_set("cutoff").alias("cutoffs"))
-    jobs = (
-        filled.groupBy("unique_id").agg(*_values()).join(stops, "unique_id")
-        .select("unique_id", "values", F.transform("cutoffs", lambda c: F.struct(
-            (F.datediff(c, F.col("first")) + 1).alias("n"), c.alias("cutoff"))).alias("stops"))
-    )
-    return ahead(smoothed(jobs, True), horizon, True).drop("n")
+    return ahead(smoothed(_dealt(packed(filled, origins)), True), horizon, True).drop("n")
+
+
+def decomposed(filled: DataFrame, origins: DataFrame) -> DataFrame:
+    """(unique_id, cutoff, n, values, season_7, season_365): what the seasons leave, and their last cycles."""
+    jobs = packed(filled, origins).withColumn("stop", F.explode("stops")).select(
+        "unique_id", F.col("stop.cutoff").alias("cutoff"), F.col("stop.n").alias("n"), F.slice("values", 1, F.col("stop.n")).alias("values")
+    ).filter((F.col("n") >= MIN_DAYS["MSTL"]) & F.forall("values", lambda v: v.isNotNull()))
+    return seasons_out(_dealt(jobs), SEASONS)
 
 
 def decomposed_predictions(filled: DataFrame, origins: DataFrame, horizon: int) -> DataFrame:
     """``MSTL``: (unique_id, cutoff, step, y_hat, error)."""
-    keys = ["unique_id", "cutoff"]
-    whole = Window.partitionBy(*keys)
-    rows = filled.join(origins.distinct(), "unique_id").filter(F.col("ds") <= F.col("cutoff")).select(
-        *keys, F.datediff("ds", F.min("ds").over(whole)).alias("t"), "ds", "y", F.count(F.lit(1)).over(whole).alias("_n")
-    ).filter(F.col("_n") >= MIN_DAYS["MSTL"]).drop("_n")
-    seasons = []
-    for period in SEASONS:
-        rows, season = without_season(rows, period)
-        seasons.append((period, season))
-    jobs = rows.groupBy(*keys).agg(*_values()).select(
-        "unique_id", "values", F.array(F.struct(F.size("values").alias("n"), "cutoff")).alias("stops")
-    )
+    jobs = decomposed(filled, origins).withColumn("stops", F.array(F.struct("n", "cutoff"))).drop("n", "cutoff")
     out = ahead(smoothed(jobs, False), horizon, False)
-    for period, season in seasons:
-        out = out.withColumn("i", ((F.col("n") + F.col("step") - 1) % period).cast("int")).join(season, [*keys, "i"])
-        out = out.withColumn("y_hat", F.col("y_hat") + F.col("s")).drop("i", "s")
-    return out.drop("n")
+    for period in SEASONS:
+        place = F.get(f"season_{period}", (F.col("step") - 1) % period)
+        out = out.withColumn("y_hat", F.col("y_hat") + place)
+    return out.select("unique_id", "cutoff", "step", "y_hat", "error")
 
 
 def fitted_predictions(

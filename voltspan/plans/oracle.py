@@ -7,7 +7,7 @@ depend on.
 from __future__ import annotations
 
 from voltspan.functions.scalars import FUEL_RULES, GAS_RULES, MARKET_REGIONS
-from voltspan.operators.forecast import candidate_grid
+from voltspan.plans import oracle_series
 from voltspan.sources.adapters import DESCRIPTORS, EVENT_REGION, PART_REGION
 from voltspan.sources.reference import FUELTECHS, REGIONS
 
@@ -239,58 +239,30 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-# Exponential smoothing as a recursion over days: every parameter candidate of every series
-# advances one day per step; each origin reads the state reached on its day.
-_GRID = ", ".join(
-    f"({i}, {a!r}::double, {b!r}::double, {g!r}::double, {p!r}::double, {int(k)})"
-    for i, (a, b, g, p, k) in enumerate(candidate_grid(True))
-)
-_FIT = "(r.level + r.phi * r.trend + r.s0)"
+# the fitted models at the origins of the backtest, at the end, and at the end of the training part
+_Z = "1.6448536269514722::double"
+_SCORES = f"""{r('avg(abs(y - y_hat))', 1)} as mae, {r('sqrt(avg((y - y_hat) * (y - y_hat)))', 1)} as rmse,
+    {r('avg(abs(y - y_hat) / nullif(y, 0) * 100.0::double)', 2)} as mape"""
+for _stops, _filled in (("origins", "filled"), ("last_day", "filled"), ("last_train_day", "filled_train")):
+    CTES.update(oracle_series.smoothing(f"ets_{_stops}", _filled, _stops))
+    CTES.update(oracle_series.decomposition(f"mstl_{_stops}", _filled, _stops))
 CTES.update({
-    "grid": ((), f"select * from (values {_GRID}) g(cid, alpha, beta, gamma, phi, k)"),
-    "numbered": (("filled",), """select unique_id, ds, y, cast(row_number() over (partition by
-        unique_id order by ds) as int) - 1 as t from filled"""),
-    "start": (("numbered",), f"""select unique_id, avg(y) as level0,
-        (avg(y) filter (t >= 14) - avg(y) filter (t < 14)) / 14 as slope0,
-        {", ".join(f"avg(y) filter (t % 7 = {i}) as m{i}" for i in range(7))}
-        from numbered where t < 28 group by 1"""),
-    "steps": (("start", "grid", "numbered"), f"""select unique_id, cid, 0 as t,
-        level0 - (case when phi > 0 then slope0 else 0 end) * 29 / 2.0::double as level,
-        case when phi > 0 then slope0 else 0 end as trend,
-        {", ".join(f"case when gamma > 0 then m{i} - level0 else 0 end as s{i}"
-                   for i in range(7))},
-        0::double as sse, alpha, beta, gamma, phi, k from start, grid
-        union all
-        select r.unique_id, r.cid, r.t + 1, {_FIT} - r.s0 + r.alpha * (d.y - {_FIT}),
-        r.phi * r.trend + r.beta * (d.y - {_FIT}), r.s1, r.s2, r.s3, r.s4, r.s5, r.s6,
-        r.s0 + r.gamma * (d.y - {_FIT}), r.sse + (d.y - {_FIT}) * (d.y - {_FIT}),
-        r.alpha, r.beta, r.gamma, r.phi, r.k
-        from steps r join numbered d on r.unique_id = d.unique_id and r.t = d.t"""),
-    "fit_origins": (("origins", "filled"), """select unique_id, cutoff from origins union all
-        select unique_id, max(ds) from filled group by 1"""),
-    "best_fit": (("fit_origins", "numbered", "steps"), """select o.cutoff, r.*,
-        sqrt(r.sse / r.t) as sigma from fit_origins o
-        join numbered d on o.unique_id = d.unique_id and o.cutoff = d.ds
-        join steps r on r.unique_id = o.unique_id and r.t = d.t + 1
-        qualify row_number() over (partition by r.unique_id, o.cutoff order by
-          r.t * ln(greatest(r.sse / r.t, 1e-300)) + 2 * r.k
-          + 2 * r.k * (r.k + 1) / (r.t - r.k - 1)::double, r.cid) = 1"""),
-    "smooth": (("best_fit",), """select unique_id, cutoff, h, cutoff + h as ds, level
-        + coalesce(list_sum([phi ** j for j in range(1, h + 1) if phi > 0]), 0) * trend
-        + ([s0, s1, s2, s3, s4, s5, s6])[h] as y_hat,
-        sigma * sqrt(1 + coalesce(list_sum([(alpha + beta * coalesce(list_sum([phi ** j
-          for j in range(1, i + 1) if phi > 0]), 0)) ** 2 for i in range(1, h)]), 0)) as error
-        from best_fit, (select cast(x as int) as h from range(1, 8) u(x))"""),
-    "smooth_bt": (("smooth", "origins", "series"), """select b.unique_id, 'AutoETS' as model,
-        b.cutoff, b.ds, b.y_hat, s.y from smooth b
-        join origins o on o.unique_id = b.unique_id and o.cutoff = b.cutoff
-        join series s on s.unique_id = b.unique_id and s.ds = b.ds"""),
-    "smooth_fc": (("smooth", "filled"), """select unique_id as region, 'AutoETS' as model,
-        ds as forecast_date, y_hat as predicted_demand_mw,
-        y_hat - 1.6448536269514722::double * error as lo_90,
-        y_hat + 1.6448536269514722::double * error as hi_90 from smooth b
-        where (unique_id, cutoff) in (select unique_id, max(ds) from filled group by 1)"""),
+    "last_day": (("filled",), "select unique_id, max(ds) as cutoff from filled group by 1"),
+    "last_train_day": (("filled_train",), "select unique_id, max(ds) as cutoff from filled_train group by 1"),
 })
+for _pre, _model in (("ets", "AutoETS"), ("mstl", "MSTL")):
+    CTES.update({
+        f"{_pre}_bt": ((f"{_pre}_origins", "series"), f"""select b.unique_id, '{_model}' as model,
+            b.cutoff, b.ds, b.y_hat, s.y from {_pre}_origins b
+            join series s on s.unique_id = b.unique_id and s.ds = b.ds"""),
+        f"{_pre}_fc": ((f"{_pre}_last_day",), f"""select unique_id as region, ds as forecast_date,
+            y_hat as predicted_demand_mw, y_hat - {_Z} * error as lo_90, y_hat + {_Z} * error as hi_90,
+            '{_model}' as model from {_pre}_last_day"""),
+        f"{_pre}_bench": ((f"{_pre}_last_train_day",), f"""select 'Python' as engine, '{_model}' as model,
+            unique_id as region, ds, y_hat as pred from {_pre}_last_train_day"""),
+        f"{_pre}_accuracy": ((f"{_pre}_bt",), f"""select unique_id as region, model, {_SCORES},
+            6::int as n_windows, 7::int as horizon from {_pre}_bt group by 1, 2"""),
+    })
 
 
 def sql(body: str, *names: str) -> str:
@@ -308,4 +280,4 @@ def sql(body: str, *names: str) -> str:
     if not order:
         return body
     head = ",\n".join(f"{n} as ({CTES[n][1]})" for n in order)
-    return f"with {'recursive ' if 'steps' in order else ''}{head}\n{body}"
+    return f"with {'recursive ' if any(f'from {n} r join' in CTES[n][1] for n in order) else ''}{head}\n{body}"

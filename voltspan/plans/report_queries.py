@@ -133,7 +133,7 @@ def _(t):
 
 @query("l15_forecast_table_smoothing", sql(f"""select forecast_date,
     {r('predicted_demand_mw', 1)} as predicted_demand_mw, {r('lo_90', 1)} as lo_90,
-    {r('hi_90', 1)} as hi_90 from smooth_fc where region = 'TAS1'""", "smooth_fc"))
+    {r('hi_90', 1)} as hi_90 from ets_fc where region = 'TAS1'""", "ets_fc"))
 def _(t):
     fc = marts.fct_demand_forecast(forecast.demand_forecast(t.series, ["AutoETS"]))
     return reports.fc_table(t.named(fc), "Tasmania")

@@ -141,14 +141,15 @@ def _(t):
 
 
 @query("j4_smoothing_backtest", sql("""select * replace (round(y_hat, 6) as y_hat)
-    from smooth_bt""", "smooth_bt"))
+    from ets_bt""", "ets_bt"))
 def _(t):
     return q6(forecast.backtest(t.series, ["AutoETS"]), "y_hat")
 
 
-@query("j5_decomposition_backtest")
+@query("j5_decomposition_backtest", sql("""select * replace (round(y_hat, 6) as y_hat)
+    from mstl_bt""", "mstl_bt"))
 def _(t):
-    return forecast.backtest(t.series, ["MSTL"])
+    return q6(forecast.backtest(t.series, ["MSTL"]), "y_hat")
 
 
 @query("j6_naive_forecast_band", sql("""select region, model, forecast_date,
@@ -160,13 +161,16 @@ def _(t):
 
 @query("j6_smoothing_forecast_band", sql("""select region, model, forecast_date,
     round(predicted_demand_mw, 6) as predicted_demand_mw, round(lo_90, 6) as lo_90,
-    round(hi_90, 6) as hi_90 from smooth_fc""", "smooth_fc"))
+    round(hi_90, 6) as hi_90 from ets_fc""", "ets_fc"))
 def _(t):
     ahead = forecast.demand_forecast(t.series, ["AutoETS"]).drop("generated_at")
     return q6(ahead, "predicted_demand_mw", "lo_90", "hi_90")
 
 
-@query("j6_all_models_forecast")
+@query("j6_all_models_forecast", sql(f"""select region, model, forecast_date,
+    {r('predicted_demand_mw', 1)} as predicted_demand_mw, {r('lo_90', 1)} as lo_90,
+    {r('hi_90', 1)} as hi_90 from (select * from naive_fc union all by name select * from ets_fc
+    union all by name select * from mstl_fc)""", "naive_fc", "ets_fc", "mstl_fc"))
 def _(t):
     return marts.fct_demand_forecast(forecast.demand_forecast(t.series)).drop("generated_at")
 
@@ -176,16 +180,15 @@ def _(t):
     return t.accuracy
 
 
-@query("j7_accuracy_two_models", sql(f"""select region, model, mae, rmse, mape, n_windows, horizon
-    from accuracy union all by name select unique_id as region, model,
-    {r('avg(abs(y - y_hat))', 1)} as mae, {r('sqrt(avg((y - y_hat) * (y - y_hat)))', 1)} as rmse,
-    {r('avg(abs(y - y_hat) / nullif(y, 0) * 100.0::double)', 2)} as mape, 6::int as n_windows,
-    7::int as horizon from smooth_bt group by 1, 2""", "accuracy", "smooth_bt"))
+@query("j7_accuracy_two_models", sql("""select * from accuracy union all by name
+    select * from ets_accuracy""", "accuracy", "ets_accuracy"))
 def _(t):
     return series.accuracy_table(forecast.backtest(t.series, ["SeasonalNaive", "AutoETS"]))
 
 
-@query("j7_accuracy_all_models")
+@query("j7_accuracy_all_models", sql("""select * from accuracy union all by name
+    select * from ets_accuracy union all by name select * from mstl_accuracy""",
+    "accuracy", "ets_accuracy", "mstl_accuracy"))
 def _(t):
     return series.accuracy_table(forecast.backtest(t.series))
 
@@ -195,7 +198,14 @@ def _(t):
     return t.benchmark
 
 
-@query("j8_engine_benchmark_all_models")
+@query("j8_engine_benchmark_all_models", sql(f"""select * from bench_scores union all by name
+    select region, engine, model, {r('avg(abs(y - pred))', 1)} as mae,
+    {r('sqrt(avg((y - pred) * (y - pred)))', 1)} as rmse,
+    {r('avg(abs(y - pred) / nullif(y, 0) * 100.0::double)', 2)} as mape,
+    (select max(ds) - 6 from holdout) as holdout_start, (select max(ds) from holdout) as holdout_end
+    from holdout h join (select * from ets_bench union all by name select * from mstl_bench) p
+      on h.unique_id = p.region and h.ds = p.ds group by 1, 2, 3""",
+    "bench_scores", "holdout", "ets_bench", "mstl_bench"))
 def _(t):
     train, holdout = series.holdout_split(t.series)
     sets = t.external.unionByName(forecast.benchmark_predictions(train))
