@@ -5,6 +5,7 @@ import zipfile
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from voltspan.operators import dims, summaries
 from voltspan.sinks import tables as sinks
@@ -159,3 +160,41 @@ def test_registry_columns_go_by_name(spark, tmp_path):
     (tmp_path / "reg.csv").write_text("Region,ordinal,DUID\nSA1,4,U9\n")
     row = landing.registry_csv(spark, str(tmp_path)).first()
     assert (row["ordinal"], row["DUID"], row["Region"]) == (4, "U9", "SA1")
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    for name, path, keys in (("voltspan_kept_a", str(tmp_path / "t"), None), ("voltspan_kept_b", None, ["k"]), ("voltspan_kept_c", str(tmp_path / "p"), ["k"])):
+        old = sinks.replace_table(spark.range(5).selectExpr("id", "id % 2 as k"), name, keys, path)
+        assert old.count() == 5
+        broken = spark.range(100, numPartitions=4).selectExpr("if(id = 99, raise_error('no'), id) as id", "id % 2 as k")
+        with pytest.raises(Exception, match="no"):
+            sinks.replace_table(broken, name, keys, path)
+        assert sorted(r.id for r in spark.table(name).collect()) == list(range(5))
+        # a table may be made from itself, and another schema takes over
+        new = sinks.replace_table(spark.table(name).selectExpr("id + 1 as id", "k", "'x' as more"), name, keys, path)
+        assert sorted(r.id for r in new.collect()) == list(range(1, 6)) and "more" in spark.table(name).columns
+        spark.sql(f"drop table {name}")
+
+
+def test_metrics_of_a_write_are_checked_with_the_footers(spark, tmp_path, monkeypatch):
+    seen = sinks.write_observed(spark.range(50), str(tmp_path / "out"), F.max("id").alias("top"))
+    assert seen == {"rows": 50, "top": 49}
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: 49)
+    with pytest.raises(AssertionError, match="wrote 50 rows"):
+        sinks.write_observed(spark.range(50), str(tmp_path / "out"))
+
+
+def test_landed_files_follow_the_data(spark, sf_dir, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from voltspan.plans.registry import Tables
+    from voltspan.plans.scan_queries import land_price_files
+
+    for name in ("events", "region"):
+        shutil.copy(f"{sf_dir}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = land_price_files(Tables(spark, str(tmp_path)))
+    assert land_price_files(Tables(spark, str(tmp_path))) == first
+    pq.write_table(pq.read_table(f"{sf_dir}/events.parquet").slice(0, 10), tmp_path / "events.parquet")
+    assert land_price_files(Tables(spark, str(tmp_path))) != first

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from voltspan.functions.quantiles import value_bucket
 from voltspan.operators import dims, marts, staging
 from voltspan.sources import schemas
 from voltspan.streaming import incremental
@@ -54,32 +55,63 @@ def test_stream_equals_batch_on_closed_buckets(spark, tmp_path):
     assert out.count() > 25
 
 
-def test_daily_refresh_touches_only_new_days(spark, tmp_path):
-    def price(day, hour, p):
-        ts = T(2024, 1, day, hour)
-        return ("SA1", ts, 100.0 + p, p, "TRADE", "202401", "f")
+def test_daily_refresh_merges_batches_with_late_rows(spark, tmp_path):
+    def price(day, minute, p):
+        ts = T(2024, 1, day) + dt.timedelta(minutes=minute)
+        return ("SA1", ts, 100.0 + (p or 0), p, "TRADE", "202401", "f")
 
     src = tmp_path / "src"
-    first = [price(1, h, float(h)) for h in range(1, 10)] + [price(2, 1, 5.0)]
-    second = [price(2, 2, -7.0), price(3, 4, 1.0)]
-    fact, daily, chk = (str(tmp_path / n) for n in ("fact", "daily", "chk"))
-    total = []
-    for part in (first, second):
-        spark.createDataFrame(part, schemas.PRICE_DEMAND).coalesce(1).write.mode("append").parquet(
-            str(src))
+    batches = [
+        [price(1, h, float(h)) for h in range(60, 100)] + [price(2, 1, 5.0)],
+        [price(2, 2, -7.0), price(3, 4, 1.0), price(4, 5, None)],
+        # late rows move the median of the first day to another bucket; the third has one more reading
+        [price(1, h, 900.0 + h) for h in range(100, 180)] + [price(3, 5, 2.0)],
+        [price(5, 1, float("nan")), price(5, 2, 3.0), price(5, 3, 4.0)],
+    ]
+    state, daily, chk = (str(tmp_path / n) for n in ("state", "daily", "chk"))
+    total, files = [], []
+    for part in batches:
+        spark.createDataFrame(part, schemas.PRICE_DEMAND).coalesce(1).write.mode("append").parquet(str(src))
         total += part
-        before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "daily").glob("*/*.parquet")} \
-            if (tmp_path / "daily").exists() else {}
         feed = incremental.file_stream(spark, str(src), schemas.PRICE_DEMAND)
-        incremental.refresh_region_daily(feed, fact, daily, chk)
-    want = marts.fct_region_daily(marts.fct_price_demand(staging.stg_price_demand(
-        spark.createDataFrame(total, schemas.PRICE_DEMAND))))
-    got = incremental.read_daily(spark, daily)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    # the file of the untouched first day is still the one of the first run
-    kept = {p.name for p in (tmp_path / "daily").glob("settlement_day=2024-01-01/*.parquet")}
-    assert kept and kept <= set(before)
-    assert dims.last_per_key(got, "settlement_day", "interval_count").count() == 3
+        incremental.refresh_region_daily(feed, state, daily, chk)
+        want = marts.fct_region_daily(marts.fct_price_demand(staging.stg_price_demand(
+            spark.createDataFrame(total, schemas.PRICE_DEMAND))))
+        got = incremental.read_daily(spark, daily)
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        files.append({p.name for p in (tmp_path / "daily").glob("batch=*/*.parquet")})
+    # a batch adds rows of the days it touches and leaves earlier files as they are
+    assert all(a < b for a, b in zip(files, files[1:]))
+    days = [{r.settlement_day.day for r in spark.read.parquet(f"{daily}/batch={i}").collect()} for i in range(4)]
+    assert days == [{1, 2}, {2, 3, 4}, {1, 3}, {5}]
+    assert dims.last_per_key(got, "settlement_day", "interval_count").count() == 5
+
+
+def test_only_middle_buckets_are_read_again(spark, tmp_path):
+    rows = [("SA1", T(2024, 1, 1) + dt.timedelta(minutes=i), 1.0, float(i), "TRADE", "202401", "f") for i in range(1, 1000)]
+    fact = marts.fct_price_demand(staging.stg_price_demand(spark.createDataFrame(rows, schemas.PRICE_DEMAND)))
+    prices = fact.select(*marts.REGION_DAY, value_bucket("rrp_aud_mwh").alias("_bucket"), "rrp_aud_mwh")
+    prices.write.parquet(str(tmp_path / "prices"))
+    stored = spark.read.parquet(str(tmp_path / "prices"))
+    few = incremental.prices_in_middle(stored, marts.region_day_buckets(fact))
+    assert 0 < few.count() < 100
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(_bucket" in pushed and "LessThanOrEqual(settlement_day" in pushed
+
+
+def test_bucket_states_merge_in_any_order(spark):
+    rows = [("SA1", T(2024, 1, 1 + i % 3) + dt.timedelta(minutes=i), float(i % 7), float(i % 11) - 3 if i % 5 else None, "TRADE", "202401", "f")
+            for i in range(1, 200)]
+    fact = marts.fct_price_demand(staging.stg_price_demand(spark.createDataFrame(rows, schemas.PRICE_DEMAND)))
+    parts = [marts.region_day_buckets(fact.filter(f"pmod(hash(settlement_date), 3) = {i}")) for i in range(3)]
+    whole = sorted(map(str, marts.region_day_buckets(fact).select(*sorted(parts[0].columns)).collect()))
+    for a, b, c in (parts, parts[::-1]):
+        merged = marts.merged_buckets(marts.merged_buckets(a.unionByName(b)).unionByName(c))
+        assert sorted(map(str, merged.select(*sorted(parts[0].columns)).collect())) == whole
 
 
 def test_stream_reads_a_table_of_part_files(spark, sf_dir, tmp_path):

@@ -87,6 +87,18 @@ def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
     return _join(counted.drop("_r1", "_r2"), chosen, [*keys, "_slice"])
 
 
+def middle_buckets(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _bucket, _n, _lo, _hi, _r1, _r2): the one or two buckets per group that hold its middle ranks."""
+    total = Window.partitionBy(*keys)
+    ranked = buckets.withColumn("_all", F.sum("_n").over(total)).select(
+        *keys, "_bucket", "_n", "_lo", "_hi",
+        F.expr("(_all + 1) div 2").alias("_r1"),
+        F.expr("_all div 2 + 1").alias("_r2"),
+    )
+    # one group has at most a few thousand buckets, so these windows are small per task
+    return _holding_middle(ranked, keys, "_bucket")
+
+
 def median_from_buckets(
     df: DataFrame,
     buckets: DataFrame,
@@ -96,14 +108,7 @@ def median_from_buckets(
     rank_rows: int = RANK_ROWS,
 ) -> DataFrame:
     """Second pass. ``buckets`` must be stored: it is read for sizes first and then for ranks."""
-    total = Window.partitionBy(*keys)
-    ranked = buckets.withColumn("_all", F.sum("_n").over(total)).select(
-        *keys, "_bucket", "_n", "_lo", "_hi",
-        F.expr("(_all + 1) div 2").alias("_r1"),
-        F.expr("_all div 2 + 1").alias("_r2"),
-    )
-    # one group has at most a few thousand buckets, so these windows are small per task
-    picks = _holding_middle(ranked, keys, "_bucket")
+    picks = middle_buckets(buckets, keys)
     # all buckets bound the picks from above; only past that bound are the picks counted
     extent = [F.count(F.lit(1)).alias("rows"), F.max("_n").alias("largest")]
     size = buckets.agg(*extent).first()

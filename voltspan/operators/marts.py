@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltspan.functions import scalars as X
 from voltspan.functions.quantiles import median_from_buckets, value_bucket
@@ -48,6 +49,18 @@ def region_day_buckets(fact: DataFrame) -> DataFrame:
     )
 
 
+def merged_buckets(buckets: DataFrame) -> DataFrame:
+    """Bucket rows of several loads as one row per (region, day, price bucket): counts and sums add up, bounds widen.
+
+    The table of a load and the table of many have the same columns, so states merge in any order.
+    """
+    add = ["_rows", "_n", "_sum", "_negative", "_demand", "_demand_n"]
+    bounds = {"_lo": F.min, "_hi": F.max, "_demand_lo": F.min, "_demand_hi": F.max}
+    return buckets.groupBy(*REGION_DAY, "_bucket").agg(
+        *[F.sum(c).alias(c) for c in add], *[how(c).alias(c) for c, how in bounds.items()]
+    )
+
+
 def region_day_totals(buckets: DataFrame) -> DataFrame:
     """Everything of the daily rollup but the median."""
     return buckets.groupBy(*REGION_DAY).agg(
@@ -70,6 +83,12 @@ REGION_DAILY_COLUMNS = [
 ]
 
 
+def region_daily_schema() -> T.StructType:
+    """The stored columns of the daily rollup."""
+    kinds = {"region": "string", "settlement_day": "date", "interval_count": "bigint", "negative_price_intervals": "bigint"}
+    return T.StructType.fromDDL(", ".join(f"{c} {kinds.get(c, 'double')}" for c in REGION_DAILY_COLUMNS))
+
+
 def fct_region_daily(fact: DataFrame) -> DataFrame:
     """Daily price and demand statistics per region, exact median included.
 
@@ -77,8 +96,13 @@ def fct_region_daily(fact: DataFrame) -> DataFrame:
     bucket table, the second only touches prices in the bucket that holds the median.
     """
     buckets = stage(region_day_buckets(fact), "region-day-buckets")
+    return region_daily_from(buckets, fact)
+
+
+def region_daily_from(buckets: DataFrame, prices: DataFrame) -> DataFrame:
+    """The daily rollup from its stored buckets; ``prices`` are only read for the buckets in the middle."""
     median = median_from_buckets(
-        fact,
+        prices,
         buckets.filter(F.col("_bucket").isNotNull()).select(
             *REGION_DAY, "_bucket", "_n", "_lo", "_hi"
         ),

@@ -60,6 +60,10 @@ class Tables:
     def region_totals_named(self) -> DataFrame:
         return self.named(self.region_totals)
 
+    @cached_property
+    def region_totals_stored(self) -> DataFrame:
+        return stage(self.region_totals_named, "region-totals")
+
     @cached_property
     def region_daily_named(self) -> DataFrame:
         return self.named(self.region_daily)

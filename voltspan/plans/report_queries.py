@@ -29,14 +29,14 @@ def _(t):
     round(avg(avg_demand_mw), 6) as avg_demand from region_daily_named
     where {_recent('region_daily_named', 30)}""", "region_daily_named"))
 def _(t):
-    return q6(reports.price_latest(t.region_daily_stored), "avg_price", "avg_demand")
+    return q6(reports.price_latest(t.region_totals_stored), "avg_price", "avg_demand")
 
 
 @query("l2_price_latest_week", sql(f"""select round(avg(avg_rrp), 6) as avg_price,
     round(avg(avg_demand_mw), 6) as avg_demand from region_daily_named
     where {_recent('region_daily_named', 7)}""", "region_daily_named"))
 def _(t):
-    return q6(reports.price_latest(t.region_daily_stored, 7), "avg_price", "avg_demand")
+    return q6(reports.price_latest(t.region_totals_stored, 7), "avg_price", "avg_demand")
 
 
 @query("l3_renewable_trend", sql(f"""select {_M}, {_SHARE} as renewable_share_pct

@@ -16,9 +16,9 @@ from voltspan.functions.dates import lagged_months, recent_months
 from voltspan.operators import marts, series, summaries
 from voltspan.plans.oracle import r, sql
 from voltspan.plans.registry import SERIES_MIN_INTERVALS, Tables, query
-from voltspan.session import fresh_path
+from voltspan.session import folder_state, fresh_path
 from voltspan.sinks import tables as sinks
-from voltspan.sources import coverage, landing, schemas
+from voltspan.sources import coverage, landing, reference, schemas
 
 
 def _write_by_file(df: DataFrame, fmt: str, name: str, **options) -> str:
@@ -31,12 +31,12 @@ def _write_by_file(df: DataFrame, fmt: str, name: str, **options) -> str:
 
 
 def landed(write):
-    """The files of a data folder are written once per session."""
-    paths: dict[tuple[str, str], str] = {}
+    """The files of a data folder are written once per session and state of the folder."""
+    paths: dict[tuple, str] = {}
 
     @wraps(write)
     def once(t: Tables) -> str:
-        key = (t.spark.sparkContext.applicationId, t.sf_dir)
+        key = (t.spark.sparkContext.applicationId, t.sf_dir, folder_state(t.spark, t.sf_dir))
         if key not in paths:
             paths[key] = write(t)
         return paths[key]
@@ -188,6 +188,24 @@ def _(t):
     return t.dim_region
 
 
+@query("a11_benchmark_seed", sql("select * from bench_scores", "bench_scores"))
+def _(t):
+    """The published comparison as a seed file: all text in a CSV, typed by its mart."""
+    path = fresh_path(t.spark, "benchmark-seed")
+    names = schemas.ENGINE_BENCHMARK.names
+    sinks.sorted_csv(t.benchmark, path, names, ["engine", "model", "region"])
+    return marts.fct_engine_benchmark(reference.seed_csv(t.spark, path, schemas.ENGINE_BENCHMARK))
+
+
+@query("a11_anomaly_seed", sql("select * from anomalies_mart", "anomalies_mart"))
+def _(t):
+    """The published anomalies as a seed file, with the surprise their mart adds."""
+    path = fresh_path(t.spark, "anomaly-seed")
+    names = schemas.PRICE_ANOMALY.names
+    sinks.sorted_csv(t.scored_prices, path, names, ["region", "settlement_day"])
+    return marts.fct_price_anomalies(reference.seed_csv(t.spark, path, schemas.PRICE_ANOMALY))
+
+
 @query("a11_dim_fueltech_units", sql("""select f.fueltech, f.fueltech_label, f.fuel_group,
     f.is_renewable, f.emission_factor_t_co2_per_mwh, count(u.duid) as units from dim_fueltech f
     left join unit_seed u on f.fueltech = u.fueltech group by all""",
@@ -361,10 +379,13 @@ def _(t):
 @query("b6_read_back", sql("""select count(*) as n, min(settlement_date) as first_ts,
     max(settlement_date) as last_ts from scada""", "scada"))
 def _(t):
-    path = fresh_path(t.spark, "scada")
-    t.raw_scada.write.parquet(path)
-    return sinks.read_back(
-        t.spark.read.schema(schemas.DISPATCH_SCADA).parquet(path), "settlement_date"
+    """Counted and bounded while written; the footers confirm the count."""
+    ts = F.col("settlement_date")
+    seen = sinks.write_observed(
+        t.raw_scada, fresh_path(t.spark, "scada"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+    )
+    return t.spark.createDataFrame(
+        [(seen["rows"], seen["first_ts"], seen["last_ts"])], "n long, first_ts timestamp_ntz, last_ts timestamp_ntz"
     )
 
 

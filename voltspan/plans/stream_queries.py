@@ -8,7 +8,7 @@ from voltspan.plans.oracle import sql
 from voltspan.plans.registry import q6, query
 from voltspan.plans.scan_queries import land_record_files
 from voltspan.session import fresh_path
-from voltspan.sources import adapters, schemas
+from voltspan.sources import adapters
 from voltspan.streaming import incremental
 
 
@@ -24,6 +24,12 @@ def _(t):
     )
 
 
+def price_stream(t):
+    """The events as a stream of price readings."""
+    events = incremental.file_stream(t.spark, f"{t.sf_dir}/events.parquet", t.table("events").schema)
+    return adapters.price_demand_from(events)
+
+
 @query("m2_stream_half_hour_energy", sql("""select region, 'solar' as fueltech,
     time_bucket(interval '30 minutes', settlement_date) as interval_start,
     round(sum(greatest(total_demand_mw, 0)) * (5.0::double / 60.0::double), 6) as generation_mwh,
@@ -35,10 +41,7 @@ def _(t):
     "having interval_start"), "price_demand"))
 def _(t):
     """Event readings as a stream of unit output; buckets the watermark has closed."""
-    # a pattern, because the table may be one file or a folder of part files
-    path = f"{t.sf_dir}/events.parque[t]"
-    events = incremental.file_stream(t.spark, path, t.table("events").schema)
-    price = adapters.price_demand_from(events)
+    price = price_stream(t)
     readings = price.select(
         "settlement_date", F.col("region").alias("duid"),
         F.col("total_demand_mw").alias("scada_mw"), "source_month",
@@ -58,9 +61,6 @@ def _(t):
 @query("m3_incremental_region_daily", sql("select * from region_daily", "region_daily"))
 def _(t):
     """Raw price rows arriving file by file; the daily mart after the last batch."""
-    source = fresh_path(t.spark, "price-feed")
-    t.raw_price.write.parquet(source)
-    feed = incremental.file_stream(t.spark, source, schemas.PRICE_DEMAND)
-    fact, daily = fresh_path(t.spark, "fact"), fresh_path(t.spark, "daily")
-    incremental.refresh_region_daily(feed, fact, daily, fresh_path(t.spark, "daily-checkpoint"))
+    state, daily = fresh_path(t.spark, "daily-state"), fresh_path(t.spark, "daily")
+    incremental.refresh_region_daily(price_stream(t), state, daily, fresh_path(t.spark, "daily-checkpoint"))
     return incremental.read_daily(t.spark, daily)

@@ -59,6 +59,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/voltspan/{name}-{uuid.uuid4().hex}"
 
 
+def folder_state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files below a folder, by any path Spark can open."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once and read it back.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,18 +28,32 @@ def _clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
 def replace_table(
     df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None
 ) -> DataFrame:
-    """Create or replace a table with the rows of ``df`` and return it; with ``path`` the
-    files lie there instead of in the warehouse folder."""
-    writer = _clustered(df, partition_by).write.mode("overwrite").format("parquet")
+    """Create or replace a table with the rows of ``df`` and return it. The files lie in a
+    folder of their own below ``path``, or below the table's name in its schema's folder.
+
+    The rows are written beside the old table, under a name of their own, and only a complete
+    write takes the name over, by two calls to the catalog. A write that fails leaves the old
+    table as it was, and ``df`` may read the table it replaces. The old files stay for those
+    who are still reading them, until the folder's expiry rule removes them.
+    """
+    spark, beside = df.sparkSession, f"{name}__next"
+    *schema, table = name.split(".")
+    path = path or f"{spark.catalog.getDatabase(schema[0] if schema else spark.catalog.currentDatabase()).locationUri}/{table}"
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(beside)}")
+    writer = _clustered(df, partition_by).write.format("parquet").option("path", f"{path}/{uuid.uuid4().hex}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    writer.saveAsTable(beside)
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {_quoted(beside)} RENAME TO {_quoted(name)}")
+    return spark.table(name)
 
 
 def declare_table(
@@ -65,20 +81,23 @@ def staging_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def write_observed(df: DataFrame, path: str, *metrics: Column) -> dict:
+    """Write Parquet and return ``rows`` and the ``metrics``, taken while the rows passed by.
+
+    The files' footers must hold as many rows; counting them reads no data.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    if seen.get["rows"] != stored:
+        raise AssertionError(f"wrote {seen.get['rows']} rows, {path} holds {stored}")
+    return seen.get
+
+
 def export_parquet(frames: dict[str, DataFrame], folder: str) -> DataFrame:
-    """Write each frame to ``folder/<name>.parquet`` and report the row counts read back."""
-    counts = []
-    for name, df in frames.items():
-        path = f"{folder}/{name}.parquet"
-        df.write.mode("overwrite").parquet(path)
-        back = df.sparkSession.read.schema(df.schema).parquet(path)
-        counts.append(
-            back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
-        )
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    """Write each frame to ``folder/<name>.parquet`` and report the rows written."""
+    counts = [(name, write_observed(df, f"{folder}/{name}.parquet")["rows"]) for name, df in frames.items()]
+    return next(iter(frames.values())).sparkSession.createDataFrame(counts, "name string, rows long")
 
 
 def read_back(df: DataFrame, ts: str) -> DataFrame:

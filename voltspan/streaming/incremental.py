@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltspan.functions import scalars as X
+from voltspan.functions.quantiles import middle_buckets, value_bucket
 from voltspan.operators import marts, staging
-from voltspan.session import maybe_broadcast
+from voltspan.session import maybe_broadcast, stage
 from voltspan.sources import landing, schemas
 
 
@@ -42,7 +43,11 @@ def land_new_records(spark: SparkSession, source: str, target: str, checkpoint:
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """A folder of part files, or any path pattern, as a stream."""
+    """A folder of part files, one file, or any path pattern, as a stream.
+
+    A stream takes a folder or a pattern; the last letter as a pattern of itself stands for either.
+    """
+    folder = folder if set(folder) & set("*?[{") else f"{folder.rstrip('/')[:-1]}[{folder.rstrip('/')[-1]}]"
     reader = spark.readStream.schema(schema).format("parquet")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -85,50 +90,58 @@ def stream_to_parquet(result: DataFrame, target: str, checkpoint: str) -> DataFr
     return result.sparkSession.read.schema(result.schema).parquet(target)
 
 
-def overwrite_days(df: DataFrame, folder: str, day: str) -> None:
-    """Replace only the day partitions present in ``df``."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(folder)
-    )
+def _append_batch(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """Add the rows of a batch to a table of batches, and return the whole table.
 
+    A replayed batch replaces itself, since only its own partition is overwritten.
+    """
+    tagged = df.withColumn("batch", F.lit(batch_id).cast("bigint"))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(folder)
+    return df.sparkSession.read.schema(tagged.schema).parquet(folder)
 
-def refresh_region_daily(
-    new_rows: DataFrame, fact_folder: str, daily_folder: str, checkpoint: str
-) -> None:
-    """Keep the daily rollup current from a stream of raw price rows.
 
-    The exact median cannot be updated in place, so each batch is appended to the fact
-    (partitioned by day) and the touched days, and only those, are rolled up again. Appending
-    under the batch number makes a replayed batch replace itself instead of doubling.
+def prices_in_middle(prices: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The stored prices that can decide a median of ``buckets``.
+
+    Four numbers bound the days and buckets in the middle; as plain filters they reach the scan, where the files
+    of other days and the row groups of other buckets are left out.
+    """
+    picks = middle_buckets(buckets.filter(F.col("_bucket").isNotNull()), marts.REGION_DAY)
+    ends = [f(c) for c in ("settlement_day", "_bucket") for f in (F.min, F.max)]
+    first_day, last_day, low, high = picks.agg(*ends).first()
+    if low is None:
+        return prices.limit(0)
+    return prices.filter(F.col("settlement_day").between(first_day, last_day) & F.col("_bucket").between(low, high))
+
+
+def refresh_region_daily(new_rows: DataFrame, state_folder: str, daily_folder: str, checkpoint: str) -> None:
+    """Keep the daily rollup current from a stream of raw price rows, late ones included.
+
+    The state is the table of totals per (region, day, price bucket), which merges: a batch adds its own bucket
+    rows, and the touched days are summed up anew from bucket rows alone. For the exact median, prices are kept
+    beside it, sorted by bucket, and only those in the middle buckets of touched days are read again. All three
+    tables grow by one partition per batch; a day's row is that of its newest batch.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fact = marts.fct_price_demand(staging.stg_price_demand(batch))
-        tagged = fact.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        (
-            tagged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("settlement_day", "batch")
-            .parquet(fact_folder)
-        )
-        stored = spark.read.schema(tagged.schema).parquet(fact_folder)
-        touched = (
-            stored.filter(F.col("batch") == batch_id).select("settlement_day").distinct()
-        )
-        # the join prunes the fact to the touched day partitions
-        todo = stored.join(maybe_broadcast(touched), "settlement_day")
-        overwrite_days(marts.fct_region_daily(todo), daily_folder, "settlement_day")
+        counts = _append_batch(marts.region_day_buckets(fact), f"{state_folder}/buckets", batch_id)
+        price = F.col("rrp_aud_mwh")
+        kept = fact.filter(price.isNotNull()).select(*marts.REGION_DAY, value_bucket(price).alias("_bucket"), "rrp_aud_mwh")
+        prices = _append_batch(kept.sortWithinPartitions("_bucket", "settlement_day"), f"{state_folder}/prices", batch_id)
+        touched = counts.filter(F.col("batch") == batch_id).select("settlement_day").distinct()
+        todo = counts.join(maybe_broadcast(touched.withColumnRenamed("settlement_day", "_day")), F.col("settlement_day").eqNullSafe(F.col("_day")))
+        merged = stage(marts.merged_buckets(todo), "touched-buckets")
+        daily = marts.region_daily_from(merged, prices_in_middle(prices, merged))
+        # days of a batch and regions: few rows
+        _append_batch(daily, daily_folder, batch_id)
 
     run_available(new_rows.writeStream.foreachBatch(apply), checkpoint)
 
 
 def read_daily(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.read.parquet(folder)
-    return rows.withColumn("settlement_day", F.to_date("settlement_day")).select(
-        *marts.REGION_DAILY_COLUMNS
-    )
-
+    """The newest row of every region and day."""
+    schema = marts.region_daily_schema().add("batch", T.LongType())
+    rows = spark.read.schema(schema).parquet(folder)
+    whole = F.struct(*marts.REGION_DAILY_COLUMNS)
+    return rows.groupBy(*marts.REGION_DAY).agg(F.max_by(whole, "batch").alias("row")).select("row.*")
