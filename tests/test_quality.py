@@ -57,3 +57,23 @@ def test_mart_difference(spark):
     assert {(r.r, r.side, r.rows, r.total) for r in diff} == {
         ("x", "left", 2, 2), ("x", "right", 1, 1), ("y", "left", 1, 2), ("y", "right", 1, 3)}
     assert Q.aggregate_difference(a, a.repartition(3), ["r"], sums).count() == 0
+
+
+def test_only_groups_that_differ_are_compared(spark):
+    rows = [(r, dt.date(2024, m, d), float(m * d), None if d == 3 else "t") for r in "xy" for m in range(1, 7) for d in range(1, 20)]
+    a = spark.createDataFrame(rows, "r string, d date, v double, n string")
+    b = rows + [rows[0]]  # a row more in January
+    b[30] = (*b[30][:2], -1.0, b[30][3])  # another value in February
+    b = spark.createDataFrame([*b, (None, None, None, None)], a.schema)
+    levels = [{"month": F.date_trunc("month", "d")}, {"r": F.col("r"), "d": F.col("d")}]
+    want = sorted(map(str, Q.mart_difference(a, b).collect()))
+    assert len(want) == 4
+    for n in (1, 2):
+        assert sorted(map(str, Q.mart_difference(a, b.repartition(3), levels[:n]).collect())) == want
+    left, right = Q.differing_parts(a, b, levels)
+    assert (left.count(), right.count()) == (2, 4)
+    months, _ = Q.differing_parts(a, b, levels[:1])
+    assert {r.d.month for r in months.select("d").collect()} == {1, 2}
+    same, other = Q.differing_parts(a, a.repartition(5), levels)
+    assert same.count() == other.count() == 0
+    assert Q.mart_difference(a.limit(0), a, levels).count() == len(rows)

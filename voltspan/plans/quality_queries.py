@@ -166,4 +166,6 @@ def _(t):
     right = t.fct_price.filter(~F.col("is_negative_price")).groupBy(*marts.REGION_DAY).agg(
         F.count(F.lit(1)).alias("interval_count")
     )
-    return quality.mart_difference(left, right)
+    month = {"month": F.date_trunc("month", "settlement_day")}
+    day = {c: F.col(c) for c in marts.REGION_DAY}
+    return quality.mart_difference(stage(left, "left-build"), stage(right, "right-build"), [month, day])

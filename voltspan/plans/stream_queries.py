@@ -30,6 +30,28 @@ def price_stream(t):
     return adapters.price_demand_from(events)
 
 
+def unit_output(price):
+    """Price readings as output of one unit per region."""
+    return price.select(
+        "settlement_date", F.col("region").alias("duid"),
+        F.col("total_demand_mw").alias("scada_mw"), "source_month",
+    )
+
+
+def region_units(t):
+    return t.dim_region.select(
+        F.col("region_id").alias("duid"), F.col("region_id").alias("region"),
+        F.lit("solar").alias("fueltech"),
+    )
+
+
+def streamed_energy(t):
+    energy = incremental.half_hour_energy(unit_output(price_stream(t)), region_units(t), "2 hours")
+    return incremental.stream_to_parquet(
+        energy, fresh_path(t.spark, "energy"), fresh_path(t.spark, "energy-checkpoint")
+    )
+
+
 @query("m2_stream_half_hour_energy", sql("""select region, 'solar' as fueltech,
     time_bucket(interval '30 minutes', settlement_date) as interval_start,
     round(sum(greatest(total_demand_mw, 0)) * (5.0::double / 60.0::double), 6) as generation_mwh,
@@ -41,21 +63,19 @@ def price_stream(t):
     "having interval_start"), "price_demand"))
 def _(t):
     """Event readings as a stream of unit output; buckets the watermark has closed."""
-    price = price_stream(t)
-    readings = price.select(
-        "settlement_date", F.col("region").alias("duid"),
-        F.col("total_demand_mw").alias("scada_mw"), "source_month",
-    )
-    # one unit per region
-    units = t.dim_region.select(
-        F.col("region_id").alias("duid"), F.col("region_id").alias("region"),
-        F.lit("solar").alias("fueltech"),
-    )
-    energy = incremental.half_hour_energy(readings, units, "2 hours")
-    out = incremental.stream_to_parquet(
-        energy, fresh_path(t.spark, "energy"), fresh_path(t.spark, "energy-checkpoint")
-    )
-    return q6(out, "generation_mwh", "generation_avg_mw")
+    return q6(streamed_energy(t), "generation_mwh", "generation_avg_mw")
+
+
+@query("m2_reconciled_half_hour_energy", sql("""select region, 'solar' as fueltech,
+    time_bucket(interval '30 minutes', settlement_date) as interval_start,
+    round(sum(greatest(total_demand_mw, 0)) * (5.0::double / 60.0::double), 6) as generation_mwh,
+    round(sum(greatest(total_demand_mw, 0)) * (5.0::double / 60.0::double) * 2.0::double, 6)
+    as generation_avg_mw from price_demand group by 1, 2, 3""", "price_demand"))
+def _(t):
+    """The stream's buckets and the ledger of what it lacks: every bucket, as in a batch."""
+    streamed, units = streamed_energy(t), region_units(t)
+    ledger = incremental.late_ledger(streamed, unit_output(t.raw_price), units)
+    return q6(incremental.with_ledger(streamed, ledger), "generation_mwh", "generation_avg_mw")
 
 
 @query("m3_incremental_region_daily", sql("select * from region_daily", "region_daily"))

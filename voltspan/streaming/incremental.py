@@ -81,6 +81,38 @@ def half_hour_energy(scada: DataFrame, units: DataFrame, lateness: str) -> DataF
     )
 
 
+BUCKET = ["region", "fueltech", "interval_start"]
+
+
+def late_ledger(streamed: DataFrame, scada: DataFrame, units: DataFrame, since: str | None = None) -> DataFrame:
+    """(region, fueltech, interval_start, generation_mwh, reason): what the stream's buckets lack.
+
+    A watermark drops readings that come too late and leaves the newest buckets open, and neither shows in the
+    output. This batch job sums the readings of the days from ``since`` on (all without it) and keeps the
+    difference to what the stream has given: ``late`` for buckets it has closed, ``missing`` for those it
+    has not given. Both sides are one row per bucket before they meet.
+    """
+    rows = scada if since is None else scada.filter(F.col("settlement_date") >= F.lit(since).cast("timestamp_ntz"))
+    given = streamed if since is None else streamed.filter(F.col("interval_start") >= F.lit(since).cast("timestamp_ntz"))
+    whole = marts.fct_generation(rows, units).select(*BUCKET, F.col("generation_mwh").alias("_whole"))
+    seen = given.groupBy(*BUCKET).agg(F.sum("generation_mwh").alias("_seen"))
+    lack = F.col("_whole") - F.coalesce("_seen", F.lit(0.0))
+    return (
+        whole.join(seen, BUCKET, "left")
+        # sums differ in their last digits by the order of the readings
+        .filter(F.col("_seen").isNull() | (F.abs(lack) > 1e-9 * F.greatest(F.abs("_whole"), F.lit(1.0))))
+        .select(*BUCKET, lack.alias("generation_mwh"), F.when(F.col("_seen").isNull(), "missing").otherwise("late").alias("reason"))
+    )
+
+
+def with_ledger(streamed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The buckets of stream and ledger together, as a batch would give them."""
+    both = streamed.select(*BUCKET, "generation_mwh").unionByName(ledger.select(*BUCKET, "generation_mwh"))
+    return both.groupBy(*BUCKET).agg(F.sum("generation_mwh").alias("generation_mwh")).withColumn(
+        "generation_avg_mw", F.col("generation_mwh") * F.lit(2.0)
+    )
+
+
 def stream_to_parquet(result: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Run an append-mode stream over the available input into a Parquet folder."""
     run_available(
