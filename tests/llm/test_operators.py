@@ -324,7 +324,8 @@ def test_shards_stay_equal_if_one_id_holds_a_third_of_the_rows(spark):
         assert sorted(r.slot for r in own) == list(range(len(own)))
     none = spark.range(2000).selectExpr("cast(null as bigint) as doc_id", "cast(null as string) as text")
     found = sharding.placements(none).collect()
-    assert {sum(r.shard == s for r in found) for s in range(8)} <= set(range(245, 256))
+    # a shard may hold a row more than its part, so the last may lack as many as there are others
+    assert {sum(r.shard == s for r in found) for s in range(8)} <= set(range(243, 252))
     assert all(sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found))) for s in range(8))
 
 

@@ -32,9 +32,9 @@ from voltspan.session import stage
 
 POINTS = 16_384
 VIRTUAL_NODES = 64
-ROOM = 0.002
+ROOM = 0.0002
 # largest part of a shard's mean load that stays in one piece
-HEAVY = 0.005
+HEAVY = 0.0005
 ADDED = ("size", "text_crc32", "shard", "slot")
 
 
