@@ -4,9 +4,9 @@ The ring has a fixed number of points. A document's id picks its point, and each
 the shard whose virtual node comes next clockwise. A shard takes points in ring order until it is
 full (the mean load and a little room); the points left over go on clockwise to the next other shard,
 round after round, until all have a place. Some shard always has room, because the ceilings add up to
-more than the whole. A point that alone holds more than ``HEAVY`` of a shard's mean load, as one id that
-repeats does, is split by rows into slices of about that size, which overflow clockwise one by one; so a
-shard exceeds its ceiling by less than one point or slice.
+more than the whole. A point that alone holds more than ``HEAVY`` of a shard's mean load and four times
+the mean point's, as one id that repeats does, is split by rows into slices of ``SLICE``, which overflow
+clockwise one by one; so a shard exceeds its ceiling by less than one point or slice.
 
 Defined results: null text has 0 bytes and checksum 0; a null id is replaced by the text's digest;
 repeated rows share a point and get slots of their own; an empty table stays empty. Columns of the documents
@@ -33,8 +33,8 @@ from voltspan.session import stage
 POINTS = 16_384
 VIRTUAL_NODES = 64
 ROOM = 0.0002
-# largest part of a shard's mean load that stays in one piece
-HEAVY = 0.0005
+# parts of a shard's mean load: a point of more than the first is split into slices of about the second
+HEAVY, SLICE = 0.002, 0.0005
 ADDED = ("size", "text_crc32", "shard", "slot")
 
 
@@ -109,8 +109,9 @@ def shard(
     rows = rows.select("doc_id", "size", "text_crc32", point, order) if lean else rows
     # at most one row per ring point
     cells = {p: (size, n) for p, size, n in rows.groupBy(point).agg(F.sum("size"), F.count("*")).collect()}
-    most = HEAVY * sum(size for size, _ in cells.values()) / shards
-    slices = [max(1, math.ceil(cells[p][0] / most)) if p in cells and cells[p][1] > 1 else 1 for p in range(points)]
+    total = sum(size for size, _ in cells.values())
+    heavy_from, part = max(HEAVY * total / shards, 4 * total / points), SLICE * total / shards
+    slices = [math.ceil(cells[p][0] / part) if p in cells and cells[p][1] > 1 and cells[p][0] > heavy_from else 1 for p in range(points)]
     starts, held = [], 0
     for n in slices:
         starts.append(held)
@@ -125,7 +126,7 @@ def shard(
         heavy = rows.filter(many > 1).withColumn(piece, F.col(piece) + F.pmod(F.xxhash64(F.monotonically_increasing_id()), many).cast("int"))
         heavy = stage(heavy, "heavy-points")
         rows = rows.filter(many == 1).unionByName(heavy)
-        # a slice has at least a part of a shard, so there are at most shards / HEAVY and one for each heavy point
+        # as a slice has a fixed part of a shard's load, there are at most shards / SLICE and one for each heavy point
         for i, size, n in heavy.groupBy(piece).agg(F.sum("size"), F.count("*")).collect():
             loads[i], counts[i] = size, n
     places = [p for p, n in enumerate(slices) for _ in range(n)]
