@@ -155,6 +155,22 @@ def test_smoothing_matches_brute_force(spark, seasonal, times):
         assert [r.error for r in rows] == sorted(r.error for r in rows)
 
 
+@pytest.mark.parametrize("y", [
+    # the week starts after what the halving search reads first; the level moves late
+    [100 + 0.1 * i + (12 * math.sin(2 * math.pi * i / 7) if i > 330 else 0) + math.cos(i * i) for i in range(420)],
+    [100 + math.cos(i * i) + (30 * math.sin(i / 9) if i > 250 else 0) for i in range(420)],
+])
+def test_whole_search_tries_every_candidate_on_all_days(spark, y):
+    df = frame(spark, {"a": y})
+    got = forecast.backtest(df, ["AutoETS"], windows=1, whole=True).orderBy("ds").collect()
+    halved = forecast.backtest(df, ["AutoETS"], windows=1).orderBy("ds").collect()
+    points = forecast.whole_grid(True)
+    assert len(points) == len(set(points)) > 700 and set(forecast.coarse_grid(True)) < set(points)
+    _, want = min((brute_trace(y[:413], p) for p in points), key=lambda x: x[0])
+    assert [r.y_hat for r in got] == pytest.approx(want)
+    assert [r.y_hat for r in halved] != pytest.approx(want)
+
+
 def test_series_that_reach_zero_have_no_relative_errors(spark):
     y = [float(i % 7) - 3 for i in range(90)]
     jobs = spark.createDataFrame([("a", y), ("b", y[:20]), ("c", [None, *y])], "unique_id string, values array<double>").selectExpr(
