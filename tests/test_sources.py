@@ -198,3 +198,25 @@ def test_landed_files_follow_the_data(spark, sf_dir, tmp_path):
     assert land_price_files(Tables(spark, str(tmp_path))) == first
     pq.write_table(pq.read_table(f"{sf_dir}/events.parquet").slice(0, 10), tmp_path / "events.parquet")
     assert land_price_files(Tables(spark, str(tmp_path))) != first
+
+
+def test_landing_writes_without_a_shuffle(spark, tmp_path):
+    from voltspan.plans import scan_queries
+    from voltspan.plans.registry import Tables
+
+    rows = [
+        (k, k % 5 if k else None, 1, q, 0.0, 0.0, t, "N", "O", dt.datetime(1995, 1 + k % 3, 1) if k != 4 else None)
+        for k, (q, t) in enumerate([(50.0, 0.0), (50.0, 0.0), (5.0, 0.0), (20.0, 0.08), (50.0, 0.0), (46.0, 0.01), (50.0, 0.0)])
+    ]
+    names = "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, " \
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(rows, names).withColumn("l_partkey", F.lit(1).cast("long")).repartition(2).write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = Tables(spark, str(tmp_path))
+    lines = F.array_join(scan_queries.record_text(), "\n", "").alias("value")
+    plan = scan_queries.texts_by_file(scan_queries.record_rows(t), [lines])._jdf.queryExecution().toString()
+    assert "Sort [landing" in plan and "Exchange" not in plan
+    landed = spark.read.option("recursiveFileLookup", True).text(scan_queries.land_record_files(t)).select(
+        "value", F.regexp_extract("_metadata.file_path", "landing=([^/]*)", 1).alias("file"))
+    want = scan_queries.record_lines(t).select(F.coalesce("value", F.lit("")), F.coalesce("landing", F.lit("__HIVE_DEFAULT_PARTITION__")))
+    assert sorted(map(tuple, landed.collect())) == sorted(map(tuple, want.collect()))
+    assert landed.filter("value like 'C,U%'").count() == 4 and landed.filter("value = ''").count() == 3

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from functools import wraps
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltspan.functions import scalars as X
@@ -21,12 +21,19 @@ from voltspan.sinks import tables as sinks
 from voltspan.sources import coverage, landing, reference, schemas
 
 
-def _write_by_file(df: DataFrame, fmt: str, name: str, **options) -> str:
-    """Write rows below one folder per ``landing`` file name. Rows are range-split on the
-    file name and the text, so a file with most of the rows is written by many tasks."""
-    path = fresh_path(df.sparkSession, name)
-    spread = df.repartitionByRange("landing", *[c for c in df.columns if c != "landing"])
-    spread.write.partitionBy("landing").options(**options).format(fmt).save(path)
+def texts_by_file(df: DataFrame, texts: list[Column]) -> DataFrame:
+    """``texts`` of the rows and their ``landing`` file name, in its order within each task.
+
+    The typed rows are sorted, not the text: they are what a sort holds or spills.
+    """
+    return df.sortWithinPartitions("landing").select(*texts, "landing")
+
+
+def _write_by_file(rows: DataFrame, fmt: str, name: str, **options) -> str:
+    """Write rows of ``texts_by_file`` below one folder per ``landing`` file name. Every task writes
+    what it reads: nothing is shuffled, and a file with most of the rows is written by many tasks."""
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.partitionBy("landing").options(**options).format(fmt).save(path)
     return path
 
 
@@ -46,19 +53,19 @@ def landed(write):
 
 @landed
 def land_price_files(t: Tables) -> str:
-    rows = t.raw_price.select(
+    rows = t.raw_price.withColumnRenamed("source_file", "landing").drop("source_month")
+    texts = [
         F.col("region").alias("REGION"),
         F.date_format("settlement_date", "yyyy/MM/dd HH:mm:ss").alias("SETTLEMENTDATE"),
         F.col("total_demand_mw").alias("TOTALDEMAND"),
         F.col("rrp_aud_mwh").alias("RRP"),
         F.col("period_type").alias("PERIODTYPE"),
-        F.col("source_file").alias("landing"),
-    )
-    return _write_by_file(rows, "csv", "price-files", header="true")
+    ]
+    return _write_by_file(texts_by_file(rows, texts), "csv", "price-files", header="true")
 
 
-def record_lines(t: Tables) -> DataFrame:
-    """Every reading as a data record; some records of another kind and short comment rows."""
+def record_text() -> Column:
+    """The lines of a reading: a data record, for some also one of another kind or a short comment."""
     stamp = F.date_format("settlement_date", "yyyy/MM/dd HH:mm:ss")
     value = F.coalesce(F.col("scada_mw").cast("string"), F.lit("n/a"))
     record = F.concat(
@@ -67,21 +74,29 @@ def record_lines(t: Tables) -> DataFrame:
     )
     comment = F.concat(F.lit("C,"), F.col("duid"))
     other = F.concat(F.lit("I,DISPATCH,UNIT_SCADA,1,"), F.col("duid"))
+    return F.when(F.col("scada_mw") > 35, F.array(record, comment)).when(
+        F.col("scada_mw") < 0, F.array(record, other)
+    ).otherwise(F.array(record))
+
+
+def record_rows(t: Tables) -> DataFrame:
+    """The readings with the name of the file that their month lands in."""
+    landing_name = F.concat(F.lit("DISPATCH_UNIT_SCADA_"), F.col("source_month"), F.lit(".csv"))
     return t.raw_scada.select(
-        F.explode(
-            F.when(F.col("scada_mw") > 35, F.array(record, comment))
-            .when(F.col("scada_mw") < 0, F.array(record, other))
-            .otherwise(F.array(record))
-        ).alias("value"),
-        F.concat(F.lit("DISPATCH_UNIT_SCADA_"), F.col("source_month"), F.lit(".csv")).alias(
-            "landing"
-        ),
+        "settlement_date", "duid", "scada_mw", landing_name.alias("landing")
     )
 
 
+def record_lines(t: Tables) -> DataFrame:
+    """One row per line."""
+    return record_rows(t).select(F.explode(record_text()).alias("value"), "landing")
+
+
 @landed
 def land_record_files(t: Tables) -> str:
-    return _write_by_file(record_lines(t), "text", "record-files")
+    # the lines of a reading in one value: an explode would lose the order by file
+    lines = F.array_join(record_text(), "\n", "").alias("value")
+    return _write_by_file(texts_by_file(record_rows(t), [lines]), "text", "record-files")
 
 
 def _zip_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
