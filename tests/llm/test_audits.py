@@ -267,6 +267,38 @@ def test_mined_rules_against_brute_force(spark):
             assert (best(r.tokens) or (None,) * 5)[3] == r.mined
 
 
+def test_tokens_beyond_the_basket_are_mined(spark, monkeypatch):
+    """URLs of 14 to 16 frequent tokens, whose rules need the rarer ones."""
+    words = [f"w{i:02}" for i in range(13)]
+    rows = []
+    for i in range(300):
+        tokens = sorted({*words[: 11 + i % 3], *RNG.sample(["x", "y", "z"], RNG.randrange(0, 4))})
+        bad = {"x", "y"} <= set(tokens) and RNG.random() < 0.95
+        rows.append((tokens, "block" if bad else "allow"))
+    table = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    capped = brute_rules(rows, 0.02, 0.8)
+    monkeypatch.setattr(urls, "BASKET", 16)
+    want = brute_rules(rows, 0.02, 0.8)
+    got = urls.mine(table, min_support=0.02, min_confidence=0.8)
+    assert {(tuple(r.tokens), r.verdict): (r.support, r.confidence) for r in got.collect()} == want
+    assert (("x", "y"), "block") in want and want != capped
+
+
+def test_both_ways_of_mining_agree(spark):
+    rows = []
+    for _ in range(300):
+        tokens = sorted(set(RNG.choices("abcdefgh", k=RNG.randrange(1, 9))))
+        rows.append((tokens, RNG.choice(["allow", "block", "other"]) if "c" in tokens else "block" if {"a", "b"} <= set(tokens) else "allow"))
+    table = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    grown, levels = (sorted(map(tuple, urls.mine(table, 0.02, 3, 0.5, basket=n).collect())) for n in (12, 0))
+    assert grown == levels and len(grown) > 10
+
+
+def test_all_labelled_urls_are_mined(spark):
+    table = spark.range(210_000).selectExpr("id", "array('a', concat('b', id % 2)) as tokens", "if(id % 2 = 0, 'block', 'allow') as verdict")
+    assert sorted(r.support for r in urls.mine(table).collect()) == [105_000, 105_000]
+
+
 def test_training_is_bounded_and_matching_is_not(spark):
     table = spark.range(3000).selectExpr("id", "array('a', concat('b', id % 3)) as tokens", "if(id % 3 = 0, 'block', 'allow') as verdict")
     got = {(tuple(r.tokens), r.verdict): r.support for r in urls.mine(table, sample_rows=600).collect()}
